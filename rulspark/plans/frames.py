@@ -227,10 +227,15 @@ def sql_on(frames: str, body: str, *ctes: str) -> str:
     return "WITH " + ",\n".join([frames, *ctes]) + "\n" + body
 
 
+# Where a mean ends in an exact half of the last shown digit, the last bit of the
+# sum would decide; a nudge far below that digit decides it the same way always.
+NUDGE = 3e-9
+
+
 def r6(column: Column | str) -> Column:
     """Six decimals; adding zero turns a negative zero into zero."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.round(c.cast("double"), 6) + F.lit(0.0)
+    return F.round(c.cast("double") + F.lit(NUDGE), 6) + F.lit(0.0)
 
 
 def r4(column: Column | str) -> Column:
@@ -239,7 +244,7 @@ def r4(column: Column | str) -> Column:
 
 
 def q6(expr: str) -> str:
-    return f"(round(CAST({expr} AS DOUBLE), 6) + 0e0)"
+    return f"(round(CAST({expr} AS DOUBLE) + {NUDGE!r}, 6) + 0e0)"
 
 
 def q4(expr: str) -> str:
