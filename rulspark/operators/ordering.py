@@ -21,12 +21,18 @@ MAX_TASK_ROWS = 2_000_000
 BLOCK_ROWS = 100_000
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the biggest key group; reads the key columns only."""
+def fits_task(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
+    """Whether every key group has at most ``limit`` rows.
+
+    Counts all rows first, which reads no column; group sizes, from the key
+    columns alone, matter only when there are more.
+    """
+    if df.count() <= limit:
+        return True
     if not keys:
-        return df.count()
+        return False
     sizes = df.groupBy(*[col(k) for k in keys]).count()
-    return sizes.agg(F.max("count")).first()[0] or 0
+    return sizes.where(F.col("count") > limit).isEmpty()
 
 
 def with_ordinal(
@@ -44,7 +50,7 @@ def with_ordinal(
     rows apart, or ties are numbered in no fixed order.
     """
     limit = MAX_TASK_ROWS if max_task_rows is None else max_task_rows
-    if largest_group(df, keys) <= limit:
+    if fits_task(df, keys, limit):
         window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*[col(o) for o in order])
         return df.withColumn(name, (F.row_number().over(window) - 1).cast("long"))
     return _ordinal_by_range(df, keys, order, name)

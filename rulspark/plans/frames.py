@@ -51,29 +51,27 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings without anything that needs other rows of the engine."""
-    day = F.to_date("ts")
-    time = (F.datediff(day, F.lit("2024-01-01").cast("date")) + 1).cast("int")
-    v, k = null_if_nan(F.col("value")), F.get_json_object("props", "$.k").cast("double")
     base = events(spark, sf_dir).select(
         "event_id",
         "ts",
-        unit_id(F.col("user_id") % 7 + 1, F.col("user_id")).alias("unit"),
-        F.col("user_id").cast("int").alias("unit_orig"),
-        (F.col("user_id") % 7 + 1).cast("int").alias("dataset"),
-        time.alias("time"),
-        (F.col("user_id") % 3 + 1).cast("int").alias("Fc"),
-        F.when(F.col("event_type") == "error", 0).otherwise(1).alias("hs"),
-        v.alias("v"),
-        k.alias("k"),
+        unit_id(F.expr("user_id % 7 + 1"), F.col("user_id")).alias("unit"),
+        *[
+            F.expr(e)
+            for e in (
+                "int(user_id) AS unit_orig",
+                "int(user_id % 7 + 1) AS dataset",
+                "int(datediff(date(ts), DATE'2024-01-01') + 1) AS time",
+                "int(user_id % 3 + 1) AS Fc",
+                "IF(event_type = 'error', 0, 1) AS hs",
+                "double(get_json_object(props, '$.k')) AS k",
+            )
+        ],
+        null_if_nan(F.col("value")).alias("v"),
     )
-    mixed = [
-        (F.lit(a) * F.col("v") + F.lit(b) * F.col("k") + F.lit(c)).alias(s)
-        for s, (a, b, c) in zip(SENSORS, MIXES)
-    ]
-    date = F.date_add(F.lit("2025-01-01").cast("date"), (F.col("time") - 1) % 10)
-    return base.select(
-        "event_id", "ts", "unit", "unit_orig", "dataset", "time", "Fc", "hs", *mixed,
-        date.alias("snapshot_date"),
+    return base.selectExpr(
+        "event_id", "ts", "unit", "unit_orig", "dataset", "time", "Fc", "hs",
+        *[f"{a}D * v + {b}D * k + {c}D AS {s}" for s, (a, b, c) in zip(SENSORS, MIXES)],
+        "date_add(DATE'2025-01-01', (time - 1) % 10) AS snapshot_date",
     )
 
 

@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call sites in error messages cost a stack walk per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
