@@ -9,7 +9,6 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rulspark.functions.columns import col
 from rulspark.operators.ordering import MAX_TASK_ROWS
 
 BINS = 4096
@@ -26,9 +25,14 @@ class Bracket:
     rows: int
 
 
-def _value(name: str) -> Column:
-    x = col(name).cast("double")
-    return F.when(~F.isnan(x), x)
+def _number(x: float) -> str:
+    """A double literal that reads back as the same bits."""
+    return f"double('{x!r}')" if math.isinf(x) else f"{x!r}D"
+
+
+def _value(name: str) -> str:
+    x = "double(`" + name.replace("`", "``") + "`)"
+    return f"nanvl({x}, double(null))"
 
 
 def _inside(df: DataFrame, columns: Sequence[str], brackets: Sequence[Bracket]) -> DataFrame:
@@ -36,24 +40,29 @@ def _inside(df: DataFrame, columns: Sequence[str], brackets: Sequence[Bracket])
     entries = []
     for i, b in enumerate(brackets):
         x = _value(columns[b.feature])
-        held = x.between(F.lit(b.lo), F.lit(b.hi))
-        entries.append(F.struct(F.lit(i).alias("bracket"), F.when(held, x).alias("x")))
-    wide = df.select(*{b.feature: col(columns[b.feature]) for b in brackets}.values())
-    return wide.select(F.inline(F.array(*entries))).where(F.col("x").isNotNull())
+        held = f"IF({x} BETWEEN {_number(b.lo)} AND {_number(b.hi)}, {x}, null)"
+        entries.append(f"named_struct('bracket', {i}, 'x', {held})")
+    return df.selectExpr(f"inline(array({', '.join(entries)}))").where("x IS NOT NULL")
+
+
+def _per_bracket(lists: Sequence[Sequence[str]]) -> Column:
+    """The structs that belong to a row's bracket, one output row each."""
+    arrays = ", ".join(f"array({', '.join(structs)})" for structs in lists)
+    return F.expr(f"inline(element_at(array({arrays}), bracket + 1))")
 
 
 def _narrow(df, columns, wanted: dict[tuple[int, float], tuple[int, int, Bracket]], bins):
     """Replace each bracket by the histogram bins that hold the wanted ranks."""
     brackets = list(dict.fromkeys(b for _, _, b in wanted.values()))
-    position = {b: i for i, b in enumerate(brackets)}
-    which = F.col("bracket")
-    lo = F.element_at(F.array(*[F.lit(b.lo) for b in brackets]), which + 1)
-    hi = F.element_at(F.array(*[F.lit(b.hi) for b in brackets]), which + 1)
-    share = F.try_divide(F.col("x") - lo, hi - lo)
-    slot = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * bins), F.lit(bins - 1))
+    lows = ", ".join(_number(b.lo) for b in brackets)
+    widths = ", ".join(_number(b.hi - b.lo) for b in brackets)
+    share = (
+        f"try_divide(x - element_at(array({lows}), bracket + 1), "
+        f"element_at(array({widths}), bracket + 1))"
+    )
     counts = (
         _inside(df, columns, brackets)
-        .groupBy("bracket", slot.alias("slot"))
+        .groupBy("bracket", F.expr(f"least(floor(coalesce({share}, 0D) * {bins}), {bins - 1})").alias("slot"))
         .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     )
     run = (  # at most ``bins`` rows per bracket
@@ -62,22 +71,13 @@ def _narrow(df, columns, wanted: dict[tuple[int, float], tuple[int, int, Bracket
     counts = counts.withColumn("upto", F.sum("n").over(run)).withColumn(
         "from", F.col("upto") - F.col("n")
     )
-    ranks = [
-        (position[b], f, p, first - b.before, second - b.before)
-        for (f, p), (first, second, b) in wanted.items()
-    ]
-    per_bracket: dict[int, list] = {}
-    for i, f, p, first, second in ranks:
-        per_bracket.setdefault(i, []).append(
-            F.struct(
-                F.lit(f).alias("feature"), F.lit(p).alias("prob"),
-                F.lit(first).cast("long").alias("first"), F.lit(second).cast("long").alias("second"),
-            )
+    lists: list[list[str]] = [[] for _ in brackets]
+    for (f, p), (first, second, b) in wanted.items():
+        lists[brackets.index(b)].append(
+            f"named_struct('feature', {f}, 'prob', {_number(p)}, "
+            f"'first', {first - b.before}L, 'second', {second - b.before}L)"
         )
-    lists = F.array(*[F.array(*per_bracket[i]) for i in range(len(brackets))])
-    hits = counts.select("*", F.inline(F.element_at(lists, which + 1))).where(
-        (F.col("from") <= F.col("second")) & (F.col("upto") > F.col("first"))
-    )
+    hits = counts.select("*", _per_bracket(lists)).where("from <= second AND upto > first")
     found = hits.groupBy("bracket", "feature", "prob").agg(
         F.min("lo").alias("lo"), F.max("hi").alias("hi"),
         F.min("from").alias("skipped"), F.sum("n").alias("n"),
@@ -108,7 +108,7 @@ def exact_quantiles(
     """
     spans = df.agg(
         *[
-            F.struct(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).alias(f"c{i}")
+            F.expr(f"named_struct('n', count({x}), 'lo', min({x}), 'hi', max({x})) AS c{i}")
             for i, x in enumerate(_value(c) for c in columns)
         ]
     ).first()
@@ -137,25 +137,17 @@ def _select(df, columns, wanted, sizes) -> DataFrame:
     counts = _inside(df, columns, brackets).groupBy("bracket", "x").agg(F.count("*").alias("n"))
     run = Window.partitionBy("bracket").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     counts = counts.withColumn("upto", F.sum("n").over(run))
-    per_bracket: dict[int, list] = {i: [] for i in range(len(brackets))}
+    lists: list[list[str]] = [[] for _ in brackets]
     for (f, p), (first, second, b) in wanted.items():
-        exact = (sizes[f] - 1) * p
-        per_bracket[brackets.index(b)].append(
-            F.struct(
-                F.lit(columns[f]).alias("feature"),
-                F.lit(p).alias("prob"),
-                F.lit(first - b.before).cast("long").alias("first"),
-                F.lit(second - b.before).cast("long").alias("second"),
-                F.lit(exact - first).alias("share"),
-            )
+        name = columns[f].replace("\\", "\\\\").replace("'", "\\'")
+        share = (sizes[f] - 1) * p - first
+        lists[brackets.index(b)].append(
+            f"named_struct('feature', '{name}', 'prob', {_number(p)}, 'first', {first - b.before}L, "
+            f"'second', {second - b.before}L, 'share', {_number(share)})"
         )
-    lists = F.array(*[F.array(*per_bracket[i]) for i in range(len(brackets))])
-    start = F.col("upto") - F.col("n")
-    hits = counts.select("*", F.inline(F.element_at(lists, F.col("bracket") + 1))).where(
-        (start <= F.col("second")) & (F.col("upto") > F.col("first"))
-    )
-    low = F.max(F.when((start <= F.col("first")) & (F.col("upto") > F.col("first")), F.col("x")))
-    high = F.max(F.when((start <= F.col("second")) & (F.col("upto") > F.col("second")), F.col("x")))
+    hits = counts.select("*", _per_bracket(lists)).where("upto - n <= second AND upto > first")
+    low = F.expr("max(IF(upto - n <= first AND upto > first, x, null))")
+    high = F.expr("max(IF(upto - n <= second AND upto > second, x, null))")
     return hits.groupBy("feature", "prob", "share").agg(low.alias("low"), high.alias("high")).select(
-        "feature", "prob", (F.col("low") + F.col("share") * (F.col("high") - F.col("low"))).alias("value")
+        "feature", "prob", F.expr("low + share * (high - low)").alias("value")
     )

@@ -191,13 +191,11 @@ def psi_kl(
     both = _both(reference, current, columns)
     entries = []
     for i, c in enumerate(columns):
-        x = F.col(f"v{i}")
-        slot = F.lit(0)
-        for e in sorted(set(edges[c])):
-            slot = slot + F.when(x > F.lit(e), 1).otherwise(0)
+        slot = " + ".join(["0", *[f"int(v{i} > {e!r}D)" for e in sorted(set(edges[c]))]])
         entries.append(
             F.struct(
-                F.lit(c).alias("feature"), slot.alias("bin"), x.isNotNull().alias("known"),
+                F.lit(c).alias("feature"), F.expr(slot).alias("bin"),
+                F.col(f"v{i}").isNotNull().alias("known"),
             )
         )
     counts = (

@@ -98,14 +98,14 @@ def raw_arrays(df: DataFrame, layout: str = "with_dataset") -> DataFrame:
     if layout == "with_dataset":
         ids = ["dataset", *ids]
     packed = [
-        F.array(*[F.col(slot_sensor(array, i)) for i in range(len(names))]).alias(array)
+        f"array({', '.join(slot_sensor(array, i) for i in range(len(names)))}) AS {array}"
         for array, names in ARRAY_SLOTS.items()
     ]
-    return df.select(
+    return df.selectExpr(
         *packed,
-        F.array(F.col(LABEL)).alias("Y"),
-        F.array(*[F.col(c).cast("double") for c in ids]).alias("A"),
-        F.col("seq").alias("position"),
+        f"array({LABEL}) AS Y",
+        f"array({', '.join(f'double({c})' for c in ids)}) AS A",
+        "seq AS position",
         "snapshot_date",
         "event_id",
     )
@@ -119,6 +119,13 @@ def bronze_splits(
     return raw.where(even).drop("event_id"), raw.where(~even).drop("event_id")
 
 
+def bronze(spark: SparkSession, sf_dir: str, layout: str = "with_dataset") -> DataFrame:
+    """The bronze table as it lies in storage after ingestion."""
+    raw = raw_arrays(readings(spark, sf_dir), layout)
+    split = F.expr("IF(event_id % 2 = 0, 'dev', 'test')").alias("split")
+    return raw.select(*ARRAY_SLOTS, "Y", "A", split, F.col("position").alias("seq"), "snapshot_date")
+
+
 def scored(df: DataFrame, noise: Column) -> DataFrame:
     actual = clip(F.col(LABEL), 90.0, 0.0).cast("float")
     out = df.select(

@@ -16,6 +16,7 @@ from rulspark.plans.frames import (
     READINGS_SQL,
     SENSORS,
     SILVER_SENSOR,
+    bronze,
     bronze_splits,
     predictions_a,
     q4,
@@ -50,13 +51,8 @@ ROLES = {
 }
 
 
-def _bronze(spark, sf_dir, layout="with_dataset"):
-    dev, test = bronze_splits(spark, sf_dir, layout)
-    return B.ingest_bronze(dev, test, F.col("snapshot_date"))
-
-
 def _label_base(spark, sf_dir):
-    return P.label_base(P.flatten_arrays(_bronze(spark, sf_dir)))
+    return P.label_base(P.flatten_arrays(bronze(spark, sf_dir)))
 
 
 def _written(spark, sf_dir, label, by=("snapshot_date",)):
@@ -79,7 +75,8 @@ FROM readings""",
     )
 )
 def bronze_union(spark, sf_dir):
-    df = _bronze(spark, sf_dir)
+    dev, test = bronze_splits(spark, sf_dir)
+    df = B.ingest_bronze(dev, test, F.col("snapshot_date"))
     return df.select(
         F.get("A", F.lit(1)).cast("int").alias("unit_orig"),
         F.get("A", F.lit(2)).cast("int").alias("time"),
@@ -101,7 +98,7 @@ def bronze_union(spark, sf_dir):
 def bronze_rows_per_snapshot(spark, sf_dir):
     """Written with bounded files, then counted from storage."""
     path = scratch_path(spark, "bronze")
-    W.write_layer(_bronze(spark, sf_dir), path, by=["snapshot_date"], max_rows=500)
+    W.write_layer(bronze(spark, sf_dir), path, by=["snapshot_date"], max_rows=500)
     return B.rows_per_snapshot(R.read_partitioned(spark, path))
 
 
@@ -294,12 +291,12 @@ def _rounded(df):
 
 @query(_silver_sql('dataset, unit_orig, "time", Fc, hs'))
 def silver_flatten(spark, sf_dir):
-    return _rounded(P.flatten_arrays(_bronze(spark, sf_dir), carry=()))
+    return _rounded(P.flatten_arrays(bronze(spark, sf_dir), carry=()))
 
 
 @query(sql_on(READINGS_SQL, 'SELECT dataset, unit_orig, "time", Fc, hs, seq FROM readings'))
 def silver_aux_a(spark, sf_dir):
-    out = P.aux_ids(_bronze(spark, sf_dir), "with_dataset")
+    out = P.aux_ids(bronze(spark, sf_dir), "with_dataset")
     return out.select("dataset", "unit_orig", "time", "Fc", "hs", "seq")
 
 
@@ -310,7 +307,7 @@ def silver_aux_a(spark, sf_dir):
     )
 )
 def silver_aux_b(spark, sf_dir):
-    out = P.aux_ids(_bronze(spark, sf_dir, "without_dataset"), "without_dataset")
+    out = P.aux_ids(bronze(spark, sf_dir, "without_dataset"), "without_dataset")
     return out.select("dataset", "unit_orig", "time", "Fc", "hs", "seq")
 
 
@@ -323,7 +320,7 @@ def _display_sql() -> str:
 
 @query(_display_sql())
 def rename_sensors(spark, sf_dir):
-    out = P.rename_present(P.flatten_arrays(_bronze(spark, sf_dir), carry=()))
+    out = P.rename_present(P.flatten_arrays(bronze(spark, sf_dir), carry=()))
     return _rounded(out.drop("dataset", LABEL, "snapshot_date"))
 
 
