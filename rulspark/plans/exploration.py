@@ -16,8 +16,10 @@ from rulspark.plans.frames import (
     READINGS_SQL,
     SENSORS,
     q6,
+    q9,
     quality_rows,
     r6,
+    r9,
     readings,
     samples,
     sql_on,
@@ -312,7 +314,7 @@ def _ks_sql() -> str:
   count(*) FILTER (WHERE dataset > 3) AS c FROM readings GROUP BY {s}"""
         for s in SENSORS
     )
-    return f"""SELECT feature, n_ref, n_cur, round(d, 9) + 0e0 AS distance, round(p, 9) + 0e0 AS p_value,
+    return f"""SELECT feature, n_ref, n_cur, {q9('d')} AS distance, {q9('p')} AS p_value,
   p < 0.05e0 AS shifted
 FROM (SELECT *, CASE WHEN d = 0 THEN 1e0 ELSE least(greatest(2e0 * (SELECT sum(
     CASE WHEN k % 2 = 1 THEN 1e0 ELSE -1e0 END
@@ -330,8 +332,10 @@ FROM (SELECT *, CASE WHEN d = 0 THEN 1e0 ELSE least(greatest(2e0 * (SELECT sum(
 def ks_two_sample(spark, sf_dir):
     reference, current = two_samples(spark, sf_dir)
     out = H.ks_two_sample(reference, current, SENSORS)
-    nine = lambda c: (F.round(F.col(c), 9) + F.lit(0.0)).alias(c)
-    return out.select("feature", "n_ref", "n_cur", nine("distance"), nine("p_value"), "shifted")
+    return out.select(
+        "feature", "n_ref", "n_cur", r9("distance").alias("distance"), r9("p_value").alias("p_value"),
+        "shifted",
+    )
 
 
 def _psi_sql() -> str:

@@ -232,25 +232,39 @@ def sql_on(frames: str, body: str, *ctes: str) -> str:
     return "WITH " + ",\n".join([frames, *ctes]) + "\n" + body
 
 
-# Where a mean ends in an exact half of the last shown digit, the last bit of the
-# sum would decide; a nudge far below that digit decides it the same way always.
-NUDGE = 3e-9
+# Results are shown on a decimal grid, worked out in plain double arithmetic that
+# Spark and SQL engines do alike. Where a mean ends in an exact half of the last
+# digit, the last bit of its sum would decide; the offset is a little over one half,
+# so that it always goes up.
+def _grid(column: Column | str, digits: int) -> Column:
+    c = F.col(column) if isinstance(column, str) else column
+    size = 10.0**digits
+    return F.floor(c.cast("double") * F.lit(size) + F.lit(0.503)) / F.lit(size)
+
+
+def _grid_sql(expr: str, digits: int) -> str:
+    return f"(floor(CAST({expr} AS DOUBLE) * 1e{digits} + 0.503e0) / 1e{digits})"
+
+
+def r9(column: Column | str) -> Column:
+    return _grid(column, 9)
 
 
 def r6(column: Column | str) -> Column:
-    """Six decimals; adding zero turns a negative zero into zero."""
-    c = F.col(column) if isinstance(column, str) else column
-    return F.round(c.cast("double") + F.lit(NUDGE), 6) + F.lit(0.0)
+    return _grid(column, 6)
 
 
 def r4(column: Column | str) -> Column:
-    c = F.col(column) if isinstance(column, str) else column
-    return F.round(c.cast("double"), 4) + F.lit(0.0)
+    return _grid(column, 4)
+
+
+def q9(expr: str) -> str:
+    return _grid_sql(expr, 9)
 
 
 def q6(expr: str) -> str:
-    return f"(round(CAST({expr} AS DOUBLE) + {NUDGE!r}, 6) + 0e0)"
+    return _grid_sql(expr, 6)
 
 
 def q4(expr: str) -> str:
-    return f"(round(CAST({expr} AS DOUBLE), 4) + 0e0)"
+    return _grid_sql(expr, 4)
