@@ -49,6 +49,13 @@ def pct_change(new: Column, base: Column) -> Column:
     return F.try_divide((new - base) * F.lit(100.0), base)
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation as an aggregate, NULL where a side is constant or a pair is missing."""
+    both = x.isNotNull() & y.isNotNull()
+    a, b = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def squared(value: Column) -> Column:
     return value * value
 

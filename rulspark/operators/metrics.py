@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rulspark.errors import MissingColumns
-from rulspark.functions.columns import col, pct_change, squared
+from rulspark.functions.columns import col, correlation, pct_change, squared
 from rulspark.operators.projection import require_columns
 from rulspark.schema import HIGH_LIFE, LOW_LIFE
 
@@ -161,7 +161,7 @@ def error_stats(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.max(_predicted().cast("double")).alias("pred_max"),
         F.min(_actual().cast("double")).alias("actual_min"),
         F.max(_actual().cast("double")).alias("actual_max"),
-        F.corr(_actual().cast("double"), _predicted().cast("double")).alias("correlation"),
+        correlation(_actual(), _predicted()).alias("correlation"),
     )
 
 

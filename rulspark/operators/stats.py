@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rulspark.functions.columns import col, pct_change
+from rulspark.functions.columns import col, correlation, pct_change
 from rulspark.operators.quantiles import exact_quantiles
 from rulspark.operators.rolling import ema
 from rulspark.schema import (
@@ -160,9 +160,7 @@ def smoothed_trend(
 
 def _pair_corr(x: Column, y: Column, min_points: int) -> Column:
     both = x.isNotNull() & y.isNotNull()
-    r = F.corr(F.when(both, x), F.when(both, y))
-    # corr is NaN where a side is constant; undefined is NULL here.
-    return F.when(F.count_if(both) >= min_points, F.when(~F.isnan(r), r))
+    return F.when(F.count_if(both) >= min_points, correlation(x, y))
 
 
 def sensor_label_corr(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,13 +34,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a session that names none (a unit test) gets a folder of this machine.
     """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="rulspark-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(configured)
-    return configured.rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return (configured or _local_folder()).rstrip("/")
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="rulspark-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -47,7 +48,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/rulspark-{label}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """The same rows, fixed in reliable storage so that a lost executor cannot change them."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def durable(df: DataFrame, label: str = "rows") -> DataFrame:
+    """The same rows read back from a table in the shared folder.
+
+    Cuts the lineage: a lost executor re-reads the table instead of running the
+    plan again, and every reader sees the very same rows.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rulspark.functions.columns import col
-from rulspark.operators.ordering import ordered_series
+from rulspark.operators.ordering import fits_task, ordered_series
 from rulspark.schema import MAX_ROWS_PER_FILE
 
 # Options of the silver and label tables.
@@ -22,13 +22,14 @@ def write_layer(
     mode: str = "overwrite",
     max_rows: int = MAX_ROWS_PER_FILE,
     options: Mapping[str, str] = LAYER_OPTIONS,
+    spread: bool = True,
 ) -> None:
     """Parquet with bounded files; partitions not in ``df`` stay untouched.
 
     Rows of a partition spread over as many tasks as its size asks for: the
     rebalance splits a partition value that is too big and merges small ones.
     """
-    rows = df.hint("rebalance", *[col(b) for b in by]) if by else df
+    rows = df.hint("rebalance", *[col(b) for b in by]) if by and spread else df
     writer = (
         rows.write.mode(mode)
         .option("maxRecordsPerFile", max_rows)
@@ -44,15 +45,20 @@ def overwrite_snapshots(df: DataFrame, path: str, by: str = "snapshot_date", **k
     write_layer(df, path, by=[by], **kwargs)
 
 
-def write_label_base(df: DataFrame, path: str, partitioned: bool = True) -> None:
-    """By snapshot and dataset, or one file per snapshot for small outputs."""
+def write_label_base(
+    df: DataFrame, path: str, partitioned: bool = True, max_rows: int = MAX_ROWS_PER_FILE
+) -> None:
+    """By snapshot and dataset, or by snapshot alone.
+
+    Unpartitioned snapshots become one file each while all of them fit one; bigger
+    ones are cut into files like any other layer.
+    """
     if partitioned:
-        write_layer(df, path, by=["snapshot_date", "dataset"])
+        write_layer(df, path, by=["snapshot_date", "dataset"], max_rows=max_rows)
+    elif fits_task(df, ["snapshot_date"], max_rows):
+        write_layer(df.repartition(col("snapshot_date")), path, by=["snapshot_date"], spread=False)
     else:
-        single = df.repartition(col("snapshot_date"))
-        single.write.mode("overwrite").options(**LAYER_OPTIONS).option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("snapshot_date").parquet(path)
+        write_layer(df, path, by=["snapshot_date"], max_rows=max_rows)
 
 
 def series_table(
