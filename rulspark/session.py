@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM leaves longer methods uncompiled; past this size Spark evaluates wide
+    # projections by smaller generated methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Call sites in error messages cost a stack walk per column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
