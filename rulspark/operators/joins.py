@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rulspark.errors import DuplicateKeys, MissingColumns, NoActuals
-from rulspark.functions.columns import col
+from rulspark.functions.columns import col, unit_dataset
+from rulspark.operators.metrics import accuracy
 from rulspark.operators.ordering import keep_first, skip_warmup
 from rulspark.operators.projection import require_columns
 from rulspark.schema import CLIPPED_LABEL, SEQUENCE_LENGTH
@@ -88,8 +89,6 @@ def apply_split(df: DataFrame, split_map: DataFrame, unit: str = "unit") -> Data
 
 def unit_metadata(series: DataFrame, unit: str = "unit") -> DataFrame:
     """Dataset tag and length of every engine, by id."""
-    from rulspark.functions.columns import unit_dataset
-
     return (
         series.groupBy(col(unit))
         .agg(F.count("*").alias("n_timesteps"))
@@ -132,8 +131,6 @@ def fair_comparison(
     keys: Sequence[str] = ("unit", "seq"),
 ) -> DataFrame:
     """RMSE, MAE, R² and size per model on the shared rows."""
-    from rulspark.operators.metrics import accuracy
-
     rows = shared_rows(models, skip, keys)
     scored = F.explode(
         F.array(

@@ -118,11 +118,15 @@ def history_append(history: DataFrame, record: DataFrame) -> DataFrame:
 def history_upsert(history: DataFrame, record: DataFrame, key: str = "snapshot_date") -> DataFrame:
     """The record replaces its snapshot; ordered by snapshot."""
     kept = history.join(record.select(key).distinct(), key, "left_anti")
-    return kept.unionByName(record, allowMissingColumns=True).orderBy(key)
+    return ordered_history(kept.unionByName(record, allowMissingColumns=True), key)
+
+
+def ordered_history(history: DataFrame, key: str = "snapshot_date") -> DataFrame:
+    return history.orderBy(key)
 
 
 def history_trend(history: DataFrame, key: str = "snapshot_date") -> DataFrame:
-    return history.select(key, "rmse", "mae").orderBy(key)
+    return ordered_history(history.select(key, "rmse", "mae"), key)
 
 
 def drift_backfill(scored: DataFrame, baseline=TABULAR_BASELINE, kind: str = "tabular") -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rulspark.functions.columns import col
+from rulspark.errors import NoPredictions
+from rulspark.functions.columns import col, unit_dataset
 from rulspark.operators.ordering import BLOCK_ROWS, in_blocks
 from rulspark.schema import SEQUENCE_LENGTH
 
@@ -75,8 +76,6 @@ def lag_columns(
 
 def forecast_frame(df: DataFrame, predicted: Column, actual: Column, carry: Sequence[str] = ()) -> DataFrame:
     """Predictions in the sequence layout: ``time`` is the position in the series."""
-    from rulspark.functions.columns import unit_dataset
-
     p, a = predicted.cast("float"), actual.cast("float")
     return df.select(
         "unit",
@@ -130,7 +129,5 @@ def unscored_units(series: DataFrame, predictions: DataFrame, unit: str = "unit"
 
 
 def require_predictions(predictions: DataFrame) -> None:
-    from rulspark.errors import NoPredictions
-
     if predictions.isEmpty():
         raise NoPredictions("no engine was long enough to be scored")

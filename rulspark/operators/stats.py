@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rulspark.functions.columns import col, correlation, pct_change
+from rulspark.functions.columns import col, correlation
 from rulspark.operators.quantiles import exact_quantiles
 from rulspark.operators.rolling import ema
+from rulspark.operators.sequence import with_delta
 from rulspark.schema import (
     EMA_SPAN,
     LABEL,
@@ -18,6 +19,7 @@ from rulspark.schema import (
     LOW_VARIANCE_RATIO,
     MIN_CORR_POINTS,
     SEQUENCE_LENGTH,
+    TREND_SENSORS,
 )
 
 
@@ -151,7 +153,7 @@ def sensor_trend(
 
 
 def smoothed_trend(
-    df: DataFrame, columns: Sequence[str], label: str = LABEL, span: int = EMA_SPAN
+    df: DataFrame, columns: Sequence[str] = TREND_SENSORS, label: str = LABEL, span: int = EMA_SPAN
 ) -> DataFrame:
     """Sensor and label trends, both smoothed, one row per dataset and cycle."""
     names = [*columns, label]
@@ -165,7 +167,7 @@ def _pair_corr(x: Column, y: Column, min_points: int) -> Column:
 
 def sensor_label_corr(
     trend: DataFrame,
-    sensors: Sequence[str],
+    sensors: Sequence[str] = TREND_SENSORS,
     label: str = LABEL,
     min_points: int = MIN_CORR_POINTS,
 ) -> DataFrame:
@@ -186,7 +188,7 @@ def corr_matrix(corr: DataFrame, sensors: Sequence[str]) -> DataFrame:
 
 def sensor_label_lagcorr(
     trend: DataFrame,
-    sensors: Sequence[str],
+    sensors: Sequence[str] = TREND_SENSORS,
     label: str = LABEL,
     lags: Sequence[int] = LABEL_LAGS,
     min_points: int = MIN_CORR_POINTS,
@@ -287,8 +289,6 @@ def label_exceedance(
 
 def label_linearity(df: DataFrame, label: str, unit: str = "unit", seq: str = "seq") -> DataFrame:
     """Moments of the label's first difference and whether it falls by one per step."""
-    from rulspark.operators.sequence import with_delta
-
     steps = with_delta(df, label, "_delta", unit, seq)
     d = F.col("_delta")
     out = steps.agg(
@@ -301,7 +301,3 @@ def label_linearity(df: DataFrame, label: str, unit: str = "unit", seq: str = "s
     linear = (F.abs(F.col("mean") + 1.0) < 0.01) & (F.col("std") < 0.01)
     return out.withColumn("is_linear", linear)
 
-
-def change_between(a: Column, b: Column) -> Column:
-    """Percentage change from ``a`` to ``b``."""
-    return pct_change(b, a)

@@ -87,9 +87,9 @@ def with_label(df: DataFrame) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str, seq: bool = True, label: bool = True) -> DataFrame:
     df = samples(spark, sf_dir)
-    if label:
-        df = with_label(df)
-    return with_seq(df) if seq else df
+    if seq:
+        df = with_seq(df)
+    return with_label(df) if label else df
 
 
 def raw_arrays(df: DataFrame, layout: str = "with_dataset") -> DataFrame:

@@ -253,3 +253,33 @@ def test_snapshot_roles(spark):
     )
     roles = {"train": ("2025-01-01", "2025-01-03"), "val": ("2025-01-04", "2025-01-04")}
     assert [r.role for r in P.with_snapshot_role(df, roles).collect()] == ["train", "val", None]
+
+
+def test_alignment_casts_and_dates(spark):
+    a = spark.createDataFrame([(1, 1.0), (2, None), (3, 3.0)], "t int, x double")
+    b = spark.createDataFrame([(1, 5.0), (2, 6.0), (4, 7.0)], "t int, y double")
+    assert [tuple(r) for r in J.align_on(a, b, ["t"]).collect()] == [(1, 1.0, 5.0)]
+    assert J.align_forecast(a, b, ["t"]).count() == 2
+    df = spark.createDataFrame([("2025-01-02", 7.9)], "d string, x double")
+    row = P.cast_columns(P.parse_date(df, "d"), {"x": "int"}).first()
+    assert str(row.d) == "2025-01-02" and row.x == 7
+    both = P.union_all([a, b], allow_missing=True)
+    assert both.columns == ["t", "x", "y"] and both.count() == 6
+    assert P.with_columns(a, {"p": F.col("t") + 1, "q": F.col("t") * 2}).first()[2:] == (2, 2)
+
+
+def test_series_of_unequal_length_are_found(spark):
+    a = spark.createDataFrame([("u", 0), ("u", 1), ("v", 0)], "unit string, seq long")
+    b = spark.createDataFrame([("u", 0), ("u", 1), ("w", 0)], "unit string, seq long")
+    got = {tuple(r) for r in J.series_mismatch(a, b).collect()}
+    assert got == {("v", 1, 0), ("w", 0, 1)}
+    meta = J.unit_metadata(a).collect()
+    assert [(r.unit, r.n_timesteps, r.dataset) for r in meta] == [("u", 2, "unknown"), ("v", 1, "unknown")]
+
+
+def test_pending_needs_features_after_the_cutoff(spark):
+    days = spark.createDataFrame([("2024-12-30",), ("2024-12-31",), ("2025-01-01",)], "d string").selectExpr(
+        "date(d) AS snapshot_date"
+    )
+    done = days.where("snapshot_date = DATE'2025-01-01'")
+    assert [str(r[0]) for r in J.pending_snapshots(days, done, "2024-12-31").collect()] == ["2024-12-31"]
