@@ -4,8 +4,9 @@ A word is a bag of its byte n-grams, with its borders as spaces; n-grams are has
 buckets, each with a vector, so an unseen misspelling shares most vectors with the word it
 came from. A passage of ``PASSAGE`` words is the average of its vectors, and a linear
 softmax gives its class. A document is as toxic as its worst passage, so that a few words in
-a long text are not averaged away; documents of up to one passage are plain averages.
-Vectors and softmax are trained together (Adam), first on all passages of a labelled
+a long text are not averaged away (with one average per document, a third of the toxic ones
+here were missed).
+Vectors and softmax are trained together, first on all passages of a labelled
 document, then on its worst one.
 
 Since the softmax is linear, a bucket's vector enters a score through one number, its
@@ -32,14 +33,20 @@ from rulspark.llm.arrow import filled, flat, slices
 from rulspark.llm.shared import fold, one_label, ready, table
 from rulspark.llm.words import word_spans
 
-NGRAMS = (3, 4, 5)
+NGRAMS = (4, 5, 6)
 BUCKET_BITS, DIMENSIONS = 17, 8
-PASSAGE = 64
+PASSAGE = 8
 THRESHOLD = 0.7
 HELD_OUT = 1
 # Bound of the labelled sample: rows of each class, and code points of a text.
-TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 1_200, 2_000, 20_000
-EPOCHS, WARM_UP, BATCH, RATE, SEED = 8, 2, 50, 0.02, 5
+TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 1_500, 3_000, 20_000
+EPOCHS, WARM_UP, BATCH, SEED = 6, 2, 50, 5
+CALIBRATE = 5
+# Step size of the vectors and, as a share of it, of the softmax; averages are multiplied by
+# GAIN, so that a few words of a passage can decide it.
+RATE, HEAD, GAIN = 80.0, 0.001, float(PASSAGE)
+# Log odds before any word is seen, and how fast vectors shrink.
+PRIOR, DECAY = -3.0, 3e-5
 
 
 def _folded() -> np.ndarray:
@@ -112,8 +119,8 @@ class Classifier:
     weight: np.ndarray
     bias: float
 
-    def score(self, texts: pa.Array) -> np.ndarray:
-        """Probability of the toxic class: that of each text's worst passage."""
+    def logits(self, texts: pa.Array) -> np.ndarray:
+        """Log odds of each text's worst passage."""
         if not len(texts):
             return np.zeros(0)
         got = grams(texts)
@@ -123,8 +130,28 @@ class Classifier:
             total += got.sums(self.weight[bucket] * inside)
             count += got.sums(inside)
         logit = total / np.maximum(count, 1) + self.bias
-        worst = np.maximum.reduceat(logit, got.passages[:-1])
-        return 1 / (1 + np.exp(-np.clip(worst, -60, 60)))
+        return np.maximum.reduceat(logit, got.passages[:-1])
+
+    def score(self, texts: pa.Array) -> np.ndarray:
+        """Probability of the toxic class."""
+        return 1 / (1 + np.exp(-np.clip(self.logits(texts), -60, 60)))
+
+    def calibrated(self, texts: pa.Array, labels: np.ndarray) -> "Classifier":
+        """Log odds moved along a line that fits texts which training has not seen."""
+        x = self.logits(texts)
+        ones, zeros = labels.sum(), (1 - labels).sum()
+        if not ones or not zeros:
+            return self
+        # Platt's targets keep the line finite where the classes do not overlap.
+        y = np.where(labels > 0, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+        design, line = np.column_stack([x, np.ones(len(x))]), np.array([1.0, 0.0])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(design @ line, -60, 60)))
+            curve = design.T @ (design * (p * (1 - p))[:, None]) + 1e-6 * np.eye(2)
+            line = line - np.linalg.solve(curve, design.T @ (p - y) + 1e-6 * (line - [1.0, 0.0]))
+        if not np.isfinite(line).all() or line[0] <= 0:
+            return self
+        return Classifier((self.weight * line[0]).astype(np.float32), float(self.bias * line[0] + line[1]))
 
 
 def train(texts: list[str], labels: np.ndarray) -> Classifier:
@@ -145,24 +172,22 @@ def train(texts: list[str], labels: np.ndarray) -> Classifier:
 
     draw = np.random.default_rng(SEED)
     size = 1 << BUCKET_BITS
-    params = {
-        "vectors": (draw.uniform(-1, 1, (size, DIMENSIONS)) / DIMENSIONS).astype(np.float32),
-        "softmax": draw.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32),
-        "bias": np.zeros(2, np.float32),
-    }
-    moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in params.items()}
-    step = 0
+    vectors = (draw.uniform(-1, 1, (size, DIMENSIONS)) / DIMENSIONS).astype(np.float32)
+    softmax = draw.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
+    bias = np.array([-PRIOR / 2, PRIOR / 2], np.float32)
     docs = np.arange(len(texts))
     for epoch in range(EPOCHS):
         draw.shuffle(docs)
-        rate = RATE * (1 - epoch / EPOCHS)
         for begin in range(0, len(docs), BATCH):
+            # Falls to zero over all steps. Plain gradient steps: a bucket moves as often as
+            # it is seen, so rare ones keep near their start.
+            rate = RATE * (1 - (epoch + begin / len(docs)) / EPOCHS)
             chosen = docs[begin : begin + BATCH]
             rows = [np.arange(got.passages[d], got.passages[d + 1]) for d in chosen]
             sizes = np.array([len(r) for r in rows])
             passage = np.concatenate(rows)
-            hidden, idx, counts = _average(params["vectors"], buckets, bounds, passage)
-            logits = hidden @ params["softmax"] + params["bias"]
+            hidden, idx, counts = _average(vectors, buckets, bounds, passage)
+            logits = hidden @ softmax + bias
             toxic = logits[:, 1] - logits[:, 0]
             firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             weight = np.zeros(len(passage), np.float32)
@@ -171,40 +196,35 @@ def train(texts: list[str], labels: np.ndarray) -> Classifier:
             else:
                 top = np.maximum.reduceat(toxic, firsts)
                 worst = np.flatnonzero(toxic == np.repeat(top, sizes))
-                weight[worst[np.searchsorted(worst, firsts)]] = 1
+                # Every passage of a clean text is clean; of a toxic one the worst is toxic.
+                weight[:] = np.repeat((1 - labels[chosen]) / sizes, sizes)
+                weight[worst[np.searchsorted(worst, firsts)]] += 1
             target = np.repeat(labels[chosen], sizes)
             toxic_share = 1 / (1 + np.exp(-np.clip(toxic, -60, 60)))
             slope = ((toxic_share - target) * weight / len(chosen)).astype(np.float32)
             towards = np.column_stack([-slope, slope])
-            back = towards @ params["softmax"].T
-            step += 1
-            grads = {"softmax": hidden.T @ towards, "bias": towards.sum(axis=0)}
+            back = towards @ softmax.T * GAIN
             live = np.repeat(weight > 0, counts)
             each = np.repeat(back / np.maximum(counts, 1)[:, None], counts, axis=0)[live]
             which = idx[live]
-            grads["vectors"] = np.column_stack(
-                [np.bincount(which, weights=each[:, d], minlength=size) for d in range(DIMENSIONS)]
-            ).astype(np.float32)
-            for k, g in grads.items():
-                m, v = moment[k]
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                fair = np.sqrt(v / (1 - 0.999**step)) + 1e-8
-                params[k] -= (rate * m / (1 - 0.9**step) / fair).astype(np.float32)
-    difference = params["softmax"][:, 1] - params["softmax"][:, 0]
-    weight = (params["vectors"] @ difference).astype(np.float32)
-    return Classifier(weight, float(params["bias"][1] - params["bias"][0]))
+            vectors *= 1 - rate * DECAY
+            for d in range(DIMENSIONS):
+                vectors[:, d] -= rate * np.bincount(which, weights=each[:, d], minlength=size).astype(np.float32)
+            softmax -= rate * HEAD * (hidden.T @ towards)
+            bias -= rate * HEAD * towards.sum(axis=0)
+    weight = (vectors @ (softmax[:, 1] - softmax[:, 0]) * GAIN).astype(np.float32)
+    return Classifier(weight, float(bias[1] - bias[0]))
 
 
 def _average(vectors, buckets, bounds, passage):
-    """Mean vector of each passage, its buckets, and how many each has."""
+    """Mean vector of each passage times ``GAIN``, its buckets, and how many each has."""
     counts = bounds[passage + 1] - bounds[passage]
     begins = np.concatenate([[0], np.cumsum(counts)[:-1]])
     idx = buckets[np.arange(counts.sum()) + np.repeat(bounds[passage] - begins, counts)]
     out = np.zeros((len(passage), vectors.shape[1]), np.float32)
     some = counts > 0
     if some.any():
-        out[some] = np.add.reduceat(vectors[idx], begins[some], axis=0) / counts[some, None]
+        out[some] = np.add.reduceat(vectors[idx], begins[some], axis=0) * (GAIN / counts[some, None])
     return out, idx, counts
 
 
@@ -237,7 +257,14 @@ def learned(docs: DataFrame, labels: DataFrame) -> Classifier:
     if len(kinds) < 2:
         share = 1.0 if kinds == {1} else 0.0
         return Classifier(np.zeros(1 << BUCKET_BITS, np.float32), 60.0 if share else -60.0)
-    return train([t for t, _ in rows], np.array([k for _, k in rows], np.float32))
+    # Every fifth row of a class calibrates.
+    held = [r for i, r in enumerate(rows) if i % CALIBRATE == 0]
+    taught = [r for i, r in enumerate(rows) if i % CALIBRATE]
+    if len({k for _, k in taught}) < 2:
+        taught = rows
+    model = train([t for t, _ in taught], np.array([k for _, k in taught], np.float32))
+    texts = filled(pa.array([t for t, _ in held], pa.large_string()))
+    return model.calibrated(texts, np.array([k for _, k in held], np.float32))
 
 
 def score(df: DataFrame, model: Classifier, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
