@@ -75,7 +75,8 @@ def _ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     )
     limit = nodes.count().bit_length()
     levels = []
-    while len(levels) <= limit:
+    for _ in range(limit + 1):
+        # Messages that know their root wait; only the others are joined again.
         open_rows = state.where("jump IS NOT NULL")
         if open_rows.isEmpty():
             break
@@ -83,13 +84,11 @@ def _ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         above = state.select(
             "tree", F.col("node").alias("jump"), F.col("jump").alias("_jump"), F.col("total").alias("_total"), F.col("depth").alias("_depth")
         )
-        state = fixed(
-            state.join(above, ["tree", "jump"], "left").select(
-                "tree", "node", F.col("_jump").alias("jump"),
-                (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
-                (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-            )
+        higher = open_rows.join(above, ["tree", "jump"]).select(
+            "tree", "node", F.col("_jump").alias("jump"),
+            (F.col("total") + F.col("_total")).alias("total"), (F.col("depth") + F.col("_depth")).alias("depth"),
         )
+        state = fixed(state.where("jump IS NULL").unionByName(higher))
     return levels, state.where("jump IS NULL").select("tree", "node", "total", "depth")
 
 
