@@ -243,7 +243,8 @@ def send(rows: DataFrame, sent, shards: int, id_type: str) -> DataFrame:
         context_counts, mass = common.contexts(), common.mass()
         number = 0
         for batch in batches_of(batches):
-            name = (TaskContext.get().partitionId() << 32) | number
+            task = TaskContext.get().partitionId()
+            name, home = (task << 32) | number, (task + number * 7919) % shards
             number += 1
             n = len(batch.ids)
             word, context = common.find(batch.tokens), common.find(batch.contexts)
@@ -258,7 +259,7 @@ def send(rows: DataFrame, sent, shards: int, id_type: str) -> DataFrame:
             top = common.pairs[u, t] + mass[u] * common.base(common.counts[t])
             score += _sums(batch.doc[both], n, np.log10(top))
             yield _row(
-                shard=[number % shards], batch=[name], taught=[batch.taught], ids=[batch.ids.to_pylist()], lengths=[batch.lengths.tolist()],
+                shard=[home], batch=[name], taught=[batch.taught], ids=[batch.ids.to_pylist()], lengths=[batch.lengths.tolist()],
                 doc=[np.arange(n, dtype=np.uint32).tobytes()], base=[base.tobytes()], known=[known.tobytes()], score=[score.tobytes()],
             )
             rest = ~both
