@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rulspark.schema import EMA_SPAN
-
 
 def col(name: str) -> Column:
     """A top-level column whose name may hold blanks or dots."""
@@ -62,23 +60,3 @@ def squared(value: Column) -> Column:
 
 def signed_error(predicted: Column, actual: Column) -> Column:
     return (predicted - actual).cast("float")
-
-
-def smoothed(history: Column, span: int = EMA_SPAN) -> Column:
-    """Recursive exponential mean of an array ordered from oldest to newest.
-
-    A missing observation carries the last mean forward and lets its weight decay.
-    """
-    alpha = 2.0 / (span + 1.0)
-    start = F.struct(F.lit(None).cast("double").alias("mean"), F.lit(1.0).alias("weight"))
-
-    def step(state: Column, x: Column) -> Column:
-        mean, weight = state["mean"], state["weight"] * F.lit(1.0 - alpha)
-        blended = (weight * mean + F.lit(alpha) * x) / (weight + F.lit(alpha))
-        return (
-            F.when(x.isNull(), F.struct(mean.alias("mean"), weight.alias("weight")))
-            .when(mean.isNull(), F.struct(x.alias("mean"), F.lit(1.0).alias("weight")))
-            .otherwise(F.struct(blended.alias("mean"), F.lit(1.0).alias("weight")))
-        )
-
-    return F.aggregate(history, start, step, lambda s: s["mean"])

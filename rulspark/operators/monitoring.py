@@ -15,7 +15,7 @@ from rulspark.operators.metrics import (
 )
 from rulspark.operators.ordering import sample_rows
 from rulspark.operators.stats import histogram
-from rulspark.schema import SEQUENCE_BASELINE, TABULAR_BASELINE
+from rulspark.schema import DRIFT_OK, DRIFT_OVER, SEQUENCE_BASELINE, TABULAR_BASELINE
 
 
 def _config_column(value, path: str, default: float | None = None) -> Column:
@@ -94,12 +94,12 @@ def drift_tier(metrics: DataFrame, baseline=TABULAR_BASELINE) -> DataFrame:
     ladder = [
         ("rmse", "critical"), ("rmse", "warning"), ("mae", "critical"), ("mae", "warning"),
     ]
-    status, reason = F.lit("ok"), F.lit("Within baseline thresholds.")
+    status, reason = F.lit("ok"), F.lit(DRIFT_OK)
     for metric, level in reversed(ladder):
         limit = F.col(f"{metric}_{level}_threshold")
         over = F.col(metric) > limit
         text = F.format_string(
-            f"{metric.upper()} %.2f exceeds {level} threshold (%.2f).", F.col(metric), limit
+            DRIFT_OVER.format(metric=metric.upper(), level=level), F.col(metric), limit
         )
         status = F.when(over, F.lit(level)).otherwise(status)
         reason = F.when(over, text).otherwise(reason)

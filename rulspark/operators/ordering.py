@@ -1,7 +1,7 @@
 """Row order inside an engine: positions, blocks, first rows, samples.
 
 An engine may hold a large share of all rows, so nothing here sorts a whole
-engine in one task once it is larger than ``MAX_TASK_ROWS``.
+engine in one task.
 """
 
 from __future__ import annotations
@@ -13,92 +13,42 @@ from pyspark.sql import functions as F
 
 from rulspark.functions.columns import col
 from rulspark.schema import SEED, SEQUENCE_LENGTH
-from rulspark.session import durable
 
-# Rows of one key group that a single task may sort.
-MAX_TASK_ROWS = 2_000_000
 # Rows of one engine handled by one window task.
 BLOCK_ROWS = 100_000
 
 
-def fits_task(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    """Whether every key group has at most ``limit`` rows.
-
-    Counts all rows first, which reads no column; group sizes, from the key
-    columns alone, matter only when there are more.
-    """
-    if df.count() <= limit:
-        return True
-    if not keys:
-        return False
-    sizes = df.groupBy(*[col(k) for k in keys]).count()
-    return sizes.where(F.col("count") > limit).isEmpty()
-
-
-def with_ordinal(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str = "seq",
-    max_task_rows: int | None = None,
-) -> DataFrame:
+def with_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "seq") -> DataFrame:
     """Number the rows of each key group 0, 1, 2 ... by ``order``.
 
-    Groups that fit a task use a window. Otherwise rows are range-partitioned on
-    keys and order together, so a big group spreads over many tasks, and each
-    piece of a group starts where the pieces before it end. ``order`` should tell
-    rows apart, or ties are numbered in no fixed order.
+    The first column of ``order`` cuts a group into pieces, as a cycle does an engine's
+    life: pieces are counted by a map-side aggregate, a running sum over these few rows says
+    where each piece begins, and rows are numbered inside their piece. So a task sorts one
+    piece, not a group, whatever share of all rows a group has. ``order`` should tell rows
+    apart, or ties are numbered in no fixed order.
     """
-    limit = MAX_TASK_ROWS if max_task_rows is None else max_task_rows
-    if fits_task(df, keys, limit):
-        window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*[col(o) for o in order])
-        return df.withColumn(name, (F.row_number().over(window) - 1).cast("long"))
-    return _ordinal_by_range(df, keys, order, name)
-
-
-def _ordinal_by_range(df, keys, order, name) -> DataFrame:
-    sort = [col(c) for c in [*keys, *order]]
-    # Range boundaries are sampled anew by every run of a plan, so the sorted
-    # rows are fixed once; the high bits of _position name their partition.
-    sorted_rows = durable(
-        df.repartitionByRange(*sort)
-        .sortWithinPartitions(*sort)
-        .withColumn("_position", F.monotonically_increasing_id())
-        .withColumn("_piece", F.shiftright("_position", 33))
-    )
-    # One row per group and partition it touches: at most groups + partitions.
-    pieces = sorted_rows.groupBy(*[col(k) for k in keys], F.col("_piece")).agg(
-        F.min("_position").alias("_first"), F.count("*").alias("_rows")
-    )
-    before = (
-        Window.partitionBy(*[col(k) for k in keys])
-        .orderBy("_piece")
+    # A struct is never null and compares nulls as equal, in the window and in the join.
+    piece = F.struct(*[col(k).alias(f"k{i}") for i, k in enumerate(keys)], col(order[0]).alias("at"))
+    cut = df.withColumn("_piece", piece)
+    sizes = df.select(piece.alias("_piece")).groupBy("_piece").agg(F.count("*").alias("_rows"))
+    earlier = (
+        Window.partitionBy(*[F.col(f"_piece.k{i}") for i in range(len(keys))])
+        .orderBy("_piece.at")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = pieces.select(
-        *[col(k).alias(f"_key_{k}") for k in keys],
-        F.col("_piece").alias("_at"),
-        "_first",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
-    )
-    same = F.col("_piece") == F.col("_at")
-    for k in keys:
-        same = same & col(k).eqNullSafe(col(f"_key_{k}"))
-    return sorted_rows.join(starts, same).select(
-        *[col(c) for c in df.columns],
-        (F.col("_position") - F.col("_first") + F.col("_start")).alias(name),
+    begins = sizes.select("_piece", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_begin"))
+    inside = Window.partitionBy("_piece").orderBy(*[col(o) for o in (order[1:] or order)])
+    numbered = cut.withColumn("_inside", F.row_number().over(inside) - 1)
+    return numbered.join(begins, "_piece").select(
+        *[col(c) for c in df.columns], (F.col("_begin") + F.col("_inside")).alias(name)
     )
 
 
 def with_series_index(
-    df: DataFrame,
-    unit: str = "unit",
-    order: Sequence[str] = ("time", "seq"),
-    name: str = "index",
-    max_task_rows: int | None = None,
+    df: DataFrame, unit: str = "unit", order: Sequence[str] = ("time", "seq"), name: str = "index"
 ) -> DataFrame:
     """Position 0..n-1 of every sample in its engine's series."""
-    return with_ordinal(df, [unit], list(order), name, max_task_rows)
+    return with_ordinal(df, [unit], list(order), name)
 
 
 def in_blocks(
@@ -114,11 +64,12 @@ def in_blocks(
     ``seq`` must be the dense position within the engine. The last ``halo`` rows
     of a block are copied into the next one as its history and dropped again
     afterwards, so the result equals the uncut window. ``compute`` gets the rows
-    and the window (partitioned and ordered, without a frame).
+    and the window (partitioned and ordered, without a frame). A null position is an error.
     """
     if halo >= block_rows:
         raise ValueError("a block must be longer than the history it needs")
-    own = F.floor(col(seq) / F.lit(block_rows))
+    known = F.when(col(seq).isNull(), F.raise_error(F.lit(f"{seq} is null"))).otherwise(col(seq))
+    own = F.floor(known / F.lit(block_rows))
     near_end = F.pmod(col(seq), F.lit(block_rows)) >= F.lit(block_rows - halo)
     copies = F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))
     window = Window.partitionBy(col(unit), F.col("_block")).orderBy(col(seq))
@@ -135,17 +86,11 @@ def ordered_series(df: DataFrame, unit: str = "unit", seq: str = "seq") -> DataF
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("seq",)) -> DataFrame:
     """One row per key: the earliest by ``order``.
 
-    An aggregate rather than a ranking window, so that copies of a hot key are
-    reduced before they are shuffled.
+    A rank of which only the first is kept: every task drops later copies of a key before
+    they are shuffled, so a hot key arrives as one row per task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(
-        F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(rest)]),
-        F.struct(*[col(o) for o in order]),
-    ).alias("_first")
-    picked = df.groupBy(*[col(k) for k in keys]).agg(first)
-    values = {c: F.col(f"_first.c{i}").alias(c) for i, c in enumerate(rest)}
-    return picked.select(*[values.get(c, col(c)) for c in df.columns])
+    first = Window.partitionBy(*[col(k) for k in keys]).orderBy(*[col(o) for o in order])
+    return df.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
 
 
 def dedup_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -194,10 +139,6 @@ def preview(
     return df.where(col(unit) == F.lit(unit_id)).orderBy(end).limit(n)
 
 
-def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
-    return df.select(*[col(c) for c in columns]).distinct()
-
-
 def extreme_labels(
     df: DataFrame, label: str, above: float = 100.0, first: int = 30, last: int = 10
 ) -> DataFrame:

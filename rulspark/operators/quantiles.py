@@ -9,9 +9,9 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rulspark.operators.ordering import MAX_TASK_ROWS
-
 BINS = 4096
+# Rows of a bracket that one task orders in the end; results do not depend on it.
+BRACKET_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -23,6 +23,9 @@ class Bracket:
     hi: float
     before: int
     rows: int
+    # The finite values among them; equal to lo and hi where these are finite.
+    low: float
+    high: float
 
 
 def _number(x: float) -> str:
@@ -35,6 +38,10 @@ def _value(name: str) -> str:
     return f"nanvl({x}, double(null))"
 
 
+def _finite(x: str) -> str:
+    return f"IF(abs({x}) < double('inf'), {x}, null)"
+
+
 def _inside(df: DataFrame, columns: Sequence[str], brackets: Sequence[Bracket]) -> DataFrame:
     """(bracket, x) for every value that falls in a bracket."""
     entries = []
@@ -54,16 +61,21 @@ def _per_bracket(lists: Sequence[Sequence[str]]) -> Column:
 def _narrow(df, columns, wanted: dict[tuple[int, float], tuple[int, int, Bracket]], bins):
     """Replace each bracket by the histogram bins that hold the wanted ranks."""
     brackets = list(dict.fromkeys(b for _, _, b in wanted.values()))
-    lows = ", ".join(_number(b.lo) for b in brackets)
-    widths = ", ".join(_number(b.hi - b.lo) for b in brackets)
+    # Halved, so that no width overflows; an infinite value falls into the first or last bin.
+    lows = ", ".join(_number(b.low / 2) for b in brackets)
+    widths = ", ".join(_number(b.high / 2 - b.low / 2) for b in brackets)
     share = (
-        f"try_divide(x - element_at(array({lows}), bracket + 1), "
-        f"element_at(array({widths}), bracket + 1))"
+        f"greatest(least(try_divide(x / 2D - element_at(array({lows}), bracket + 1), "
+        f"element_at(array({widths}), bracket + 1)), 1D), 0D)"
     )
+    finite = "IF(abs(x) < double('inf'), x, null)"
     counts = (
         _inside(df, columns, brackets)
         .groupBy("bracket", F.expr(f"least(floor(coalesce({share}, 0D) * {bins}), {bins - 1})").alias("slot"))
-        .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        .agg(
+            F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"),
+            F.expr(f"min({finite})").alias("low"), F.expr(f"max({finite})").alias("high"),
+        )
     )
     run = (  # at most ``bins`` rows per bracket
         Window.partitionBy("bracket").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
@@ -81,13 +93,17 @@ def _narrow(df, columns, wanted: dict[tuple[int, float], tuple[int, int, Bracket
     found = hits.groupBy("bracket", "feature", "prob").agg(
         F.min("lo").alias("lo"), F.max("hi").alias("hi"),
         F.min("from").alias("skipped"), F.sum("n").alias("n"),
+        F.min("low").alias("low"), F.max("high").alias("high"),
     )
     out = dict(wanted)
     for row in found.collect():  # one row per feature and probability
         first, second, b = wanted[(row.feature, row.prob)]
         out[(row.feature, row.prob)] = (
             first, second,
-            replace(b, lo=row.lo, hi=row.hi, before=b.before + row.skipped, rows=row.n),
+            replace(
+                b, lo=row.lo, hi=row.hi, before=b.before + row.skipped, rows=row.n,
+                low=0.0 if row.low is None else row.low, high=0.0 if row.high is None else row.high,
+            ),
         )
     return out
 
@@ -96,7 +112,7 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
-    max_rows: int = MAX_TASK_ROWS,
+    max_rows: int = BRACKET_ROWS,
     bins: int = BINS,
 ) -> DataFrame:
     """Linearly interpolated quantiles as rows (feature, prob, value); missing values skipped.
@@ -108,7 +124,10 @@ def exact_quantiles(
     """
     spans = df.agg(
         *[
-            F.expr(f"named_struct('n', count({x}), 'lo', min({x}), 'hi', max({x})) AS c{i}")
+            F.expr(
+                f"named_struct('n', count({x}), 'lo', min({x}), 'hi', max({x}), "
+                f"'low', min({_finite(x)}), 'high', max({_finite(x)})) AS c{i}"
+            )
             for i, x in enumerate(_value(c) for c in columns)
         ]
     ).first()
@@ -120,7 +139,8 @@ def exact_quantiles(
         for p in probs:
             first = math.floor((span.n - 1) * p)
             second = min(first + 1, span.n - 1)
-            wanted[(f, float(p))] = (first, second, Bracket(f, span.lo, span.hi, 0, span.n))
+            low, high = (0.0, 0.0) if span.low is None else (span.low, span.high)
+            wanted[(f, float(p))] = (first, second, Bracket(f, span.lo, span.hi, 0, span.n, low, high))
     pending = True
     while pending and any(b.rows > max_rows and b.lo < b.hi for _, _, b in wanted.values()):
         narrowed = _narrow(df, columns, wanted, bins)
@@ -149,5 +169,7 @@ def _select(df, columns, wanted, sizes) -> DataFrame:
     low = F.expr("max(IF(upto - n <= first AND upto > first, x, null))")
     high = F.expr("max(IF(upto - n <= second AND upto > second, x, null))")
     return hits.groupBy("feature", "prob", "share").agg(low.alias("low"), high.alias("high")).select(
-        "feature", "prob", F.expr("low + share * (high - low)").alias("value")
+        "feature", "prob",
+        # Between equal values, infinite ones included, there is nothing to weigh.
+        F.expr("IF(low = high OR share = 0D, low, low + share * (high - low))").alias("value"),
     )

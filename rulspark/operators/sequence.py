@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +59,27 @@ def sequence_windows(
     return in_blocks(df, n, compute, unit, seq, block_rows).where(col(seq) >= n)
 
 
+def window_vectors(
+    df: DataFrame,
+    features: Sequence[str],
+    target: str,
+    n: int = SEQUENCE_LENGTH,
+    include_target_lags: bool = True,
+    name: str = "window",
+    unit: str = "unit",
+    seq: str = "seq",
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Look-back windows as one vector per row: ``n`` steps of every feature, and of the past
+    target if ``include_target_lags``, oldest first. Rows with a missing value in their
+    window are dropped."""
+    windows = sequence_windows(df, features, n, target, include_target_lags, unit, seq, block_rows)
+    fields = [f"f{i}" for i in range(len(features))] + (["target"] if include_target_lags else [])
+    flat = F.flatten(F.transform("history", lambda step: F.array(*[step[f] for f in fields])))
+    whole = F.forall(flat, lambda x: x.isNotNull() & ~F.isnan(x))
+    return windows.withColumn("_flat", flat).where(whole).withColumn(name, array_to_vector("_flat")).drop("_flat", "history")
+
+
 def lag_columns(
     df: DataFrame,
     column: str,

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rulspark.functions.columns import col
-from rulspark.operators.ordering import MAX_TASK_ROWS
 from rulspark.operators.quantiles import exact_quantiles
 from rulspark.operators.stats import rows_from
+from rulspark.session import durable
 
 # Terms of the Kolmogorov series.
 KS_TERMS = 100
@@ -92,45 +91,35 @@ def ks_two_sample(
     current: DataFrame,
     columns: Sequence[str],
     alpha: float = 0.05,
-    max_task_rows: int = MAX_TASK_ROWS,
-    buckets: int = 1000,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Kolmogorov-Smirnov distance and p-value per feature.
 
-    Values are counted first, so copies of one value cost nothing. When there are
-    more rows than one task should order, values are cut into quantile buckets:
-    each bucket walks its own values and the buckets' totals are chained
-    afterwards. Where the cuts lie does not change the result.
+    Values are counted first, map-side, so copies of one value cost nothing. The counted
+    values are range-partitioned by feature and value, into as many ``pieces`` as there are
+    shuffle partitions unless given: every task walks its own run of values, and the totals
+    of the pieces are chained afterwards. Where the cuts lie does not change the result.
     """
     both = _both(reference, current, columns)
-    bucket_of = {i: F.lit(0.0) for i in range(len(columns))}
-    if both.count() > max_task_rows:
-        cut = QuantileDiscretizer(
-            numBucketsArray=[buckets] * len(columns),
-            inputCols=[f"v{i}" for i in range(len(columns))],
-            outputCols=[f"b{i}" for i in range(len(columns))],
-            handleInvalid="keep",
-            relativeError=0.1 / buckets,
-        )
-        both = cut.fit(both).transform(both)
-        bucket_of = {i: F.col(f"b{i}") for i in range(len(columns))}
     long = both.select(
         "is_ref",
         F.inline(
             F.array(
                 *[
-                    F.struct(
-                        F.lit(c).alias("feature"), bucket_of[i].alias("bucket"),
-                        F.col(f"v{i}").alias("x"),
-                    )
-                    for i, c in enumerate(columns)
+                    F.struct(F.lit(i).alias("feature"), F.col(f"v{i}").alias("x"))
+                    for i in range(len(columns))
                 ]
             )
         ),
     ).where(F.col("x").isNotNull())
-    counts = long.groupBy("feature", "bucket", "x").agg(
+    counted = long.groupBy("feature", "x").agg(
         F.sum("is_ref").alias("ref"), F.sum(F.lit(1) - F.col("is_ref")).alias("cur")
     )
+    cut = [pieces] if pieces else []
+    # Stored, since the cuts are sampled anew by every run of the plan.
+    counts = durable(
+        counted.repartitionByRange(*cut, "feature", "x").withColumn("bucket", F.spark_partition_id())
+    )
     walk = (
         Window.partitionBy("feature", "bucket").orderBy("x")
         .rowsBetween(Window.unboundedPreceding, 0)
@@ -140,7 +129,7 @@ def ks_two_sample(
         both, [],
         [
             F.struct(
-                F.lit(c).alias("feature"),
+                F.lit(i).alias("feature"),
                 F.count(F.when(F.col("is_ref") == 1, F.col(f"v{i}"))).alias("n_ref"),
                 F.count(F.when(F.col("is_ref") == 0, F.col(f"v{i}"))).alias("n_cur"),
             )
@@ -159,7 +148,7 @@ def ks_two_sample(
             F.sum("ref").alias("ref"), F.sum("cur").alias("cur"),
         )
     )
-    before = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # ``buckets`` rows
+    before = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per piece
     start = F.coalesce(
         F.try_divide(F.sum("ref").over(before), F.col("n_ref").cast("double"))
         - F.try_divide(F.sum("cur").over(before), F.col("n_cur").cast("double")),
@@ -172,6 +161,8 @@ def ks_two_sample(
         .agg(F.max(farthest).alias("distance"))
     )
     p = ks_pvalue(F.col("distance"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
+    names = F.array(*[F.lit(c) for c in columns])
+    distance = distance.withColumn("feature", F.get(names, F.col("feature")))
     return distance.withColumn("p_value", p).withColumn("shifted", F.col("p_value") < alpha)
 
 

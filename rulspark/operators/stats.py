@@ -118,10 +118,6 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    return exact_quantiles(df, columns, probs)
-
-
 def low_variance(
     df: DataFrame, columns: Sequence[str], ratio: float = LOW_VARIANCE_RATIO
 ) -> DataFrame:
@@ -216,9 +212,10 @@ def sensor_label_lagcorr(
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Equal-width counts between minimum and maximum, last bin closed, empty bins kept.
 
-    A zero range is widened by half a unit on each side.
+    A zero range is widened by half a unit on each side. Only finite values count.
     """
-    x = col(column).cast("double")
+    value = col(column).cast("double")
+    x = F.when(F.abs(value) < float("inf"), value)
     span = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
     flat = F.col("lo") == F.col("hi")
     limits = span.select(
@@ -241,7 +238,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
         .otherwise(F.col("_g"))
     )
     counts = (
-        df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+        df.select(x.alias("_x")).where(F.col("_x").isNotNull())
         .withColumn("_l", limits)
         .withColumn("_g", g)
         .groupBy(fixed.alias("_bin"))

@@ -101,13 +101,13 @@ def sensor_rul_corr(spark, sf_dir):
         f"SELECT dataset, '{s}' AS feature, {k} AS lag, CASE WHEN count(x) > 5 THEN {q6('corr(x, rul)')} END AS corr "
         f'FROM (SELECT dataset, rul, lag({s}, {k}) OVER (PARTITION BY dataset ORDER BY "time") AS x FROM smooth) '
         "GROUP BY dataset"
-        for s in SENSORS[:4]
+        for s in SENSORS
         for k in LABEL_LAGS
     )
 )
 def sensor_rul_lagcorr(spark, sf_dir):
-    trend = S.smoothed_trend(readings(spark, sf_dir, seq=False), SENSORS[:4])
-    return _rounded(S.sensor_label_lagcorr(trend, SENSORS[:4]))
+    trend = S.smoothed_trend(readings(spark, sf_dir, seq=False), SENSORS)
+    return _rounded(S.sensor_label_lagcorr(trend, SENSORS))
 
 
 @query(
@@ -252,14 +252,6 @@ def feature_distribution(spark, sf_dir):
     return _rounded(S.feature_distribution(samples(spark, sf_dir), SENSORS))
 
 
-_RANGE_SQL = _each(
-    "(min({0}) - lo{0}) / w{0} AS min_scaled, (max({0}) - lo{0}) / w{0} AS max_scaled, "
-    "100e0 * count(*) FILTER (WHERE ({0} - lo{0}) / w{0} < 0) / count({0}) AS pct_below, "
-    "100e0 * count(*) FILTER (WHERE ({0} - lo{0}) / w{0} > 1) / count({0}) AS pct_above",
-    SENSORS,
-    "readings, fit",
-    "WHERE dataset > 3 GROUP BY ALL",
-)
 _FIT_SQL = "fit AS (SELECT " + ", ".join(
     f"min({s}) AS lo{s}, max({s}) - min({s}) AS w{s}" for s in SENSORS
 ) + " FROM readings WHERE dataset <= 3)"
@@ -395,14 +387,23 @@ def quality_dedup(spark, sf_dir):
 @query(
     sql_on(
         QUALITY_SQL,
-        """SELECT reason, count(*) AS n FROM (SELECT CASE WHEN s1 IS NULL THEN 'missing'
-  WHEN label < 0 THEN 'negative_label' ELSE 'kept' END AS reason FROM quality) GROUP BY reason""",
+        f"""SELECT 'count' AS part, reason, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS DOUBLE) AS s1, count(*) AS n
+FROM (SELECT CASE WHEN s1 IS NULL THEN 'missing' WHEN label < 0 THEN 'negative_label' ELSE 'kept' END AS reason
+  FROM quality) GROUP BY reason
+UNION ALL SELECT 'row', 'kept', event_id, {q6('s1')}, count(*) FROM quality
+WHERE s1 IS NOT NULL AND label >= 0 GROUP BY event_id, s1""",
     )
 )
 def quality_filter(spark, sf_dir):
+    """Rows per reason, and every row that was kept with how often it occurs."""
     df = quality_rows(spark, sf_dir)
-    _, counts = Q.quality_filter(df, Q.validity_rules(["s1", "s2"], "label"))
-    return counts
+    kept, counts = Q.quality_filter(df, Q.validity_rules(["s1", "s2"], "label"))
+    nothing = {"event_id": F.lit(None).cast("long"), "s1": F.lit(None).cast("double")}
+    totals = counts.select(F.lit("count").alias("part"), "reason", *[v.alias(k) for k, v in nothing.items()], "n")
+    rows = kept.groupBy("event_id", "s1").agg(F.count("*").alias("n"))
+    return totals.unionByName(
+        rows.select(F.lit("row").alias("part"), F.lit("kept").alias("reason"), "event_id", r6("s1").alias("s1"), "n")
+    )
 
 
 @query(

@@ -203,15 +203,16 @@ def read_partitioned(spark, sf_dir):
 @query(
     sql_on(
         READINGS_SQL,
-        f"""SELECT event_id, unit, dataset, {q6('s1')} AS s1,
-  CASE WHEN dataset > 4 THEN {q6('s2')} END AS s2 FROM readings""",
+        f"""SELECT event_id, unit, dataset,
+  CASE WHEN dataset > 4 OR event_id % 100 <> 0 THEN {q6('s1')} END AS s1, CASE WHEN dataset > 4 THEN {q6('s2')} END AS s2 FROM readings""",
     )
 )
 def tolerant_union(spark, sf_dir):
-    """Parts whose columns differ in type and presence."""
+    """Written files whose columns differ in type and presence, one with a bad value."""
     df = samples(spark, sf_dir)
     narrow = df.where("dataset <= 4").select(
-        "event_id", "unit", F.col("dataset").cast("string").alias("dataset"), "s1"
+        "event_id", "unit", F.col("dataset").cast("string").alias("dataset"),
+        F.when(F.col("event_id") % 100 == 0, "x1").otherwise(F.col("s1").cast("string")).alias("s1"),
     )
     wide = df.where("dataset > 4").select("event_id", "unit", "dataset", "s1", "s2")
     schema = T.StructType(
@@ -223,7 +224,12 @@ def tolerant_union(spark, sf_dir):
             T.StructField("s2", T.DoubleType()),
         ]
     )
-    out = R.tolerant_union([narrow, wide], schema)
+    parts = []
+    for name, part in (("narrow", narrow), ("wide", wide)):
+        path = scratch_path(spark, name)
+        part.write.parquet(path)
+        parts.append(spark.read.parquet(path))
+    out = R.tolerant_union(parts, schema, strict=False)
     return out.select("event_id", "unit", "dataset", r6("s1").alias("s1"), r6("s2").alias("s2"))
 
 

@@ -20,8 +20,10 @@ from rulspark.operators import monitoring as D
 from rulspark.operators import projection as P
 from rulspark.operators import scaling as C
 from rulspark.operators import sequence as S
-from rulspark.operators.ordering import with_series_index
+from rulspark.operators import splits as SP
 from rulspark.operators.rolling import multiscale_features
+from rulspark.operators.silver import silver_frame
+from rulspark.operators.stats import unit_counts
 from rulspark.schema import (
     BASE_FEATURES,
     CLIPPED_LABEL,
@@ -38,6 +40,7 @@ from rulspark.schema import (
 from rulspark.sources import bronze as B
 from rulspark.sources import readers as R
 from rulspark.sources import writers as W
+from rulspark.session import durable
 
 
 @dataclass(frozen=True)
@@ -51,8 +54,10 @@ class Lake:
     def snapshot(self, layer: str, date: str) -> DataFrame:
         return R.scan_snapshot(self.spark, self.path(layer), date, required=True)
 
-    def replace(self, df: DataFrame, layer: str, by: Sequence[str] = ("snapshot_date",)) -> str:
-        W.write_layer(df, self.path(layer), by=by)
+    def replace(
+        self, df: DataFrame, layer: str, by: Sequence[str] = ("snapshot_date",), spread: bool = True
+    ) -> str:
+        W.write_layer(df, self.path(layer), by=by, spread=spread)
         return self.path(layer)
 
     def dated(self, df: DataFrame, date: str) -> DataFrame:
@@ -67,13 +72,7 @@ def ingest(lake: Lake, date: str) -> str:
 
 def silver(lake: Lake, date: str, aux_layout: str = "with_dataset") -> str:
     """``bronze`` to ``silver``; ``seq`` becomes the dense position in the engine's series."""
-    # Rows of the first split come before those of the second, as they were stacked.
-    flat = P.flatten_arrays(lake.snapshot("bronze", date), aux_layout=aux_layout, carry=["split", "seq"])
-    numbered = with_series_index(
-        P.with_unit_id(flat), order=["time", "split", "seq"], name="_index"
-    )
-    out = numbered.drop("unit", "split", "seq").withColumnRenamed("_index", "seq")
-    return lake.replace(out, "silver")
+    return lake.replace(silver_frame(lake.snapshot("bronze", date), aux_layout), "silver")
 
 
 def label_base(lake: Lake, date: str, upper: float = TABULAR_CLIP, partitioned: bool = True) -> str:
@@ -103,12 +102,12 @@ def series_features(lake: Lake, date: str) -> str:
         lake.snapshot("gold/label_base", date), BASE_FEATURES, ["unit", "seq"]
     )
     present = [f for f in BASE_FEATURES if f not in missing]
-    return lake.replace(lake.dated(W.series_table(base, present), date), "gold/series_features")
+    return lake.replace(lake.dated(W.series_table(base, present), date), "gold/series_features", spread=False)
 
 
 def series_labels(lake: Lake, date: str, upper: float = SEQUENCE_CLIP) -> str:
     df = P.clip_label(lake.snapshot("gold/label_base", date), LABEL, upper, 0.0)
-    return lake.replace(lake.dated(W.series_table(df, [CLIPPED_LABEL]), date), "gold/series_labels")
+    return lake.replace(lake.dated(W.series_table(df, [CLIPPED_LABEL]), date), "gold/series_labels", spread=False)
 
 
 def train_tabular(lake: Lake, date: str, **params) -> str:
@@ -135,34 +134,62 @@ def score_tabular(lake: Lake, date: str) -> str:
     return lake.replace(out, "inference/tabular")
 
 
-def _lags(lake: Lake, date: str, params: DataFrame) -> tuple[DataFrame, list[str]]:
-    labels = lake.snapshot("gold/series_labels", date).select("unit", "seq", CLIPPED_LABEL)
-    lags = range(1, SEQUENCE_LENGTH + 1)
-    wide = S.lag_columns(C.scale(labels, params, [CLIPPED_LABEL]), CLIPPED_LABEL, lags)
-    return wide, [f"{CLIPPED_LABEL}_lag{k}" for k in lags]
+def split_engines(lake: Lake, date: str, train_sets: Sequence[int] | None = None, oot_sets: Sequence[int] = ()) -> str:
+    """Whole engines of ``gold/tabular_features`` dealt to train, val, test and oot; rows
+    scaled by a scaler that saw train rows only. Writes ``gold/splits`` and the scaler."""
+    rows = lake.snapshot("gold/tabular_features", date)
+    if train_sets is None:
+        found = unit_counts(rows).where("is_total = 0").select("dataset").collect()
+        train_sets = sorted(r[0] for r in found if r[0] not in oot_sets)
+    dealt = J.apply_split(rows, SP.split_units(rows, train_sets, oot_sets))
+    features = [f for f in BASE_FEATURES if f in dealt.columns]
+    scaler = lake.path("models/tabular_scaler")
+    C.fit_robust(dealt.where("split = 'train'"), features).write.mode("overwrite").parquet(scaler)
+    scaled = C.scale(dealt, R.read_partitioned(lake.spark, scaler), features)
+    return lake.replace(scaled, "gold/splits", by=["snapshot_date", "split"])
+
+
+def _series(lake: Lake, date: str) -> tuple[DataFrame, list[str]]:
+    """Covariates and label of every position; both series must be of one length."""
+    labels = lake.snapshot("gold/series_labels", date).drop("snapshot_date")
+    covariates = lake.snapshot("gold/series_features", date).drop("snapshot_date")
+    if uneven := J.series_mismatch(covariates, labels).limit(5).collect():
+        raise ValueError(f"series of different length: {uneven}")
+    features = [c for c in covariates.columns if c not in ("unit", "seq")]
+    return covariates.join(labels, ["unit", "seq"]), features
+
+
+def _scaled_windows(lake: Lake, date: str, include_target_lags: bool) -> DataFrame:
+    series, features = _series(lake, date)
+    scaler = R.read_partitioned(lake.spark, lake.path("models/sequence_scaler"))
+    scaled = C.scale(series, scaler, [*features, CLIPPED_LABEL])
+    return S.window_vectors(scaled, features, CLIPPED_LABEL, SEQUENCE_LENGTH, include_target_lags)
 
 
-def train_sequence(lake: Lake, date: str, **params) -> str:
-    """A linear one-step forecaster on the scaled lags of a snapshot."""
-    labels = lake.snapshot("gold/series_labels", date)
-    C.fit_robust(labels, [CLIPPED_LABEL]).write.mode("overwrite").parquet(
+def train_sequence(lake: Lake, date: str, include_target_lags: bool = True, **params) -> str:
+    """A linear one-step forecaster on scaled look-back windows of all covariates, and of the
+    past label if ``include_target_lags``."""
+    series, features = _series(lake, date)
+    C.fit_robust(series, [*features, CLIPPED_LABEL]).write.mode("overwrite").parquet(
         lake.path("models/sequence_scaler")
     )
-    scaler = R.read_partitioned(lake.spark, lake.path("models/sequence_scaler"))
-    wide, names = _lags(lake, date, scaler)
-    model = L.train_linear(wide, names, CLIPPED_LABEL, **params)
+    windows = _scaled_windows(lake, date, include_target_lags)
+    model = L.train_vectors(windows, "window", CLIPPED_LABEL, **params)
     model.write().overwrite().save(lake.path("models/sequence"))
     return lake.path("models/sequence")
 
 
-def forecast_sequence(lake: Lake, date: str) -> str:
-    """One step ahead at every position from 30 on, in cycles."""
-    scaler = R.read_partitioned(lake.spark, lake.path("models/sequence_scaler"))
+def forecast_sequence(lake: Lake, date: str, include_target_lags: bool = True) -> str:
+    """One step ahead at every position from 30 on, in cycles; engines that are too short
+    are listed in ``inference/sequence_unscored``."""
     model = PipelineModel.load(lake.path("models/sequence"))
-    center, spread = scaler.select("center", "scale").first()
-    wide, _ = _lags(lake, date, scaler)
-    out = S.rolling_forecast(wide, model.transform, CLIPPED_LABEL, center, spread)
+    scaler = R.read_partitioned(lake.spark, lake.path("models/sequence_scaler"))
+    center, spread = scaler.where(F.col("feature") == CLIPPED_LABEL).select("center", "scale").first()
+    windows = _scaled_windows(lake, date, include_target_lags)
+    out = durable(S.rolling_forecast(windows, model.transform, CLIPPED_LABEL, center, spread))
     S.require_predictions(out)
+    short = S.unscored_units(lake.snapshot("gold/series_labels", date), out)
+    lake.replace(lake.dated(short, date), "inference/sequence_unscored")
     return lake.replace(lake.dated(out, date), "inference/sequence")
 
 
@@ -170,7 +197,8 @@ def monitor_tabular(lake: Lake, date: str) -> str:
     """Join, metrics, drift tier, history, documents and residuals of a snapshot."""
     predictions = lake.snapshot("inference/tabular", date)
     labels = lake.snapshot("gold/tabular_labels", date).drop("snapshot_date")
-    joined = J.join_actuals(predictions, labels)
+    # Four results read the joined rows; the join itself runs once.
+    joined = durable(J.join_actuals(predictions, labels))
     J.require_actuals(joined)
     baseline = R.read_baseline(
         lake.spark, lake.path("models/tabular_baseline.json"), TABULAR_BASELINE_SCHEMA
@@ -185,12 +213,20 @@ def monitor_tabular(lake: Lake, date: str) -> str:
         )
     )
     W.write_history(record, lake.path("monitoring/tabular/history"))
+    _report(lake, date, P.with_error(joined), "tabular")
     return lake.path("monitoring/tabular/history")
 
 
+def _report(lake: Lake, date: str, scored: DataFrame, model: str) -> None:
+    """Histogram, sample, engine ranking and summary of a snapshot's errors."""
+    for name, rows in D.report_tables(scored).items():
+        lake.replace(lake.dated(rows.drop("snapshot_date"), date), f"monitoring/{model}/report/{name}")
+
+
 def monitor_sequence(lake: Lake, date: str) -> str:
     """Metrics, drift flags and history of a snapshot; a rerun adds a row."""
     scored = lake.snapshot("inference/sequence", date)
+    _report(lake, date, scored.withColumn("seq", F.col("time")), "sequence")
     baseline = R.read_baseline(
         lake.spark, lake.path("models/sequence_baseline.json"), SEQUENCE_BASELINE_SCHEMA,
         SEQUENCE_FALLBACK,
@@ -207,9 +243,14 @@ def pending(lake: Lake, model: str) -> list[str]:
         "tabular": ("gold/tabular_features", TABULAR_CUTOFF),
         "sequence": ("gold/series_labels", SEQUENCE_CUTOFF),
     }[model]
-    features = R.read_partitioned(lake.spark, lake.path(source))
+    spark = lake.spark
+
+    def dates(layer: str) -> DataFrame:
+        return spark.createDataFrame([(d,) for d in R.existing_partitions(spark, lake.path(layer))], "snapshot_date date")
+
+    features = dates(source)
     try:
-        done = R.read_partitioned(lake.spark, lake.path(f"inference/{model}"))
+        done = dates(f"inference/{model}")
     except NothingFound:
         done = features.limit(0)
     return [str(r[0]) for r in J.pending_snapshots(features, done, cutoff).collect()]
@@ -223,6 +264,7 @@ STAGES: dict[str, Callable[..., str]] = {
     "tabular-features": tabular_features,
     "series-features": series_features,
     "series-labels": series_labels,
+    "split": split_engines,
     "train-tabular": train_tabular,
     "score-tabular": score_tabular,
     "train-sequence": train_sequence,

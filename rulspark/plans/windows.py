@@ -27,7 +27,7 @@ from rulspark.plans.frames import (
 from rulspark.plans.registry import query
 from rulspark.schema import EMA_SPAN, LABEL
 
-ROLLED = ["s1", "s2"]
+ROLLED = SENSORS
 
 
 def _over(n: int) -> str:
@@ -168,10 +168,10 @@ def skip_warmup(spark, sf_dir):
 @query(
     sql_on(
         READINGS_SQL,
-        f"""SELECT unit, seq, event_id, n_steps, {q6('oldest')} AS oldest, {q6('newest')} AS newest,
-  {q6('total')} AS total, {q6('target_total')} AS target_total FROM (
-  SELECT unit, seq, event_id, count(*) OVER w AS n_steps, first_value(s1) OVER w AS oldest,
-    last_value(s1) OVER w AS newest, sum(s2) OVER w AS total, sum(rul) OVER w AS target_total
+        f"""SELECT unit, seq, event_id, n_steps, {q6('target_total')} AS target_total,
+  {", ".join(f"{q6(f'{s}_oldest')} AS {s}_oldest, {q6(f'{s}_newest')} AS {s}_newest, {q6(f'{s}_total')} AS {s}_total" for s in SENSORS)} FROM (
+  SELECT unit, seq, event_id, count(*) OVER w AS n_steps, sum(rul) OVER w AS target_total,
+    {", ".join(f"first_value({s}) OVER w AS {s}_oldest, last_value({s}) OVER w AS {s}_newest, sum({s}) OVER w AS {s}_total" for s in SENSORS)}
   FROM readings
   WINDOW w AS (PARTITION BY unit ORDER BY seq ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))
 WHERE seq >= 30""",
@@ -179,17 +179,19 @@ WHERE seq >= 30""",
 )
 def sequence_windows(spark, sf_dir):
     df = readings(spark, sf_dir)
-    out = S.sequence_windows(df, ["s1", "s2"], target=LABEL)
+    out = S.sequence_windows(df, SENSORS, target=LABEL)
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    shown = []
+    for i, s in enumerate(SENSORS):
+        steps = f"history.f{i}"
+        shown += [
+            r6(F.get(steps, F.lit(0))).alias(f"{s}_oldest"),
+            r6(F.element_at(steps, -1)).alias(f"{s}_newest"),
+            r6(total(F.col(steps))).alias(f"{s}_total"),
+        ]
     return out.select(
-        "unit",
-        "seq",
-        "event_id",
-        F.size("history").cast("long").alias("n_steps"),
-        r6(F.get("history.f0", F.lit(0))).alias("oldest"),
-        r6(F.element_at("history.f0", -1)).alias("newest"),
-        r6(total(F.col("history.f1"))).alias("total"),
-        r6(total(F.col("history.target"))).alias("target_total"),
+        "unit", "seq", "event_id", F.size("history").cast("long").alias("n_steps"),
+        r6(total(F.col("history.target"))).alias("target_total"), *shown,
     )
 
 
@@ -279,7 +281,6 @@ GROUP BY 1""",
 def forecast_eval(spark, sf_dir):
     """The last label minus one, against the target at the forecast positions."""
     from rulspark.operators.joins import align_forecast
-    from rulspark.operators.metrics import rmse_mae
 
     series = _sequence_series(spark, sf_dir)
     forecast = S.naive_forecast(series, "label", how="last").select(
@@ -287,32 +288,51 @@ def forecast_eval(spark, sf_dir):
     )
     target = series.select("unit", "seq", F.col("label").cast("float").alias("RUL_Actual"))
     scored = align_forecast(forecast, target)
-    counted = scored.groupBy("dataset").agg(F.count("*").alias("n"))
-    return rmse_mae(scored, ["dataset"]).join(counted, "dataset").select(
-        "dataset", "n", r6("rmse").alias("rmse")
+    error = F.col("RUL_Predicted") - F.col("RUL_Actual")
+    return scored.groupBy("dataset").agg(
+        F.count("*").alias("n"), r6(F.sqrt(F.avg(error.cast("double") * error.cast("double")))).alias("rmse")
     )
 
 
-def _lag_model(spark, sf_dir):
-    """Look-back windows of a scaled label, one column per lag, and the fitted model."""
-    from rulspark.operators.modeling import train_linear
+def _forecast(spark, sf_dir, include_target_lags):
+    """Linear forecasts from scaled windows of all sensors, fitted on datasets 1 to 5; rows,
+    finite predictions and whether they beat the mean, per dataset."""
+    from rulspark.operators.modeling import train_vectors
 
-    series = _sequence_series(spark, sf_dir).select("unit", "dataset", "seq", "label")
+    series = _sequence_series(spark, sf_dir).select("unit", "dataset", "seq", "label", *SENSORS)
     train = F.col("dataset") <= 5
-    params = fit_robust(series.where(train), ["label"])
-    lags = range(1, 31)
-    wide = S.lag_columns(scale(series, params, ["label"]), "label", lags)
-    names = [f"label_lag{k}" for k in lags]
-    return wide, params, train_linear(wide.where(train), names, "label", maxIter=5)
+    params = fit_robust(series.where(train), [*SENSORS, "label"])
+    windows = S.window_vectors(
+        scale(series, params, [*SENSORS, "label"]), SENSORS, "label", include_target_lags=include_target_lags
+    )
+    model = train_vectors(windows.where(train), "window", "label", regParam=0.01)
+    center, spread = params.where("feature = 'label'").select("center", "scale").first()
+    out = S.rolling_forecast(windows, model.transform, "label", center, spread)
+    error = F.col("Prediction_Error").cast("double")
+    finite = F.col("RUL_Predicted").isNotNull() & (F.abs("RUL_Predicted") < float("inf"))
+    return out, out.groupBy("dataset").agg(
+        F.count("*").alias("n"), F.every(finite).alias("all_finite"),
+        (F.avg(error * error) < F.var_pop(F.col("RUL_Actual").cast("double"))).alias("beats_mean"),
+    )
+
+
+_FORECAST_SQL = sql_on(
+    READINGS_SQL,
+    """SELECT split_part(unit, '_', 1) AS dataset, count(*) AS n, true AS all_finite{extra}
+FROM readings WHERE seq >= 30 GROUP BY 1""",
+)
 
 
-@query()
+@query(_FORECAST_SQL.replace("{extra}", ", true AS beats_mean"))
 def forecast_lr(spark, sf_dir):
-    """Linear one-step forecast on thirty lags, fitted on datasets 1-5, scored on all."""
-    wide, params, model = _lag_model(spark, sf_dir)
-    center, spread = params.select("center", "scale").first()
-    out = S.rolling_forecast(wide, model.transform, "label", center, spread)
-    return out.select("unit", "dataset", "time", "RUL_Predicted", "RUL_Actual", "Prediction_Error")
+    """One step ahead from thirty steps of all sensors and the past label."""
+    return _forecast(spark, sf_dir, True)[1]
+
+
+@query(_FORECAST_SQL.replace("{extra}", ""))
+def forecast_covariates(spark, sf_dir):
+    """The same without the past label, where that would leak."""
+    return _forecast(spark, sf_dir, False)[1].drop("beats_mean")
 
 
 @query(

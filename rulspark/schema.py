@@ -220,3 +220,8 @@ def derived_names(feature: str, windows=ROLLING_WINDOWS) -> list[str]:
     for scale in windows:
         names += [f"{feature}_mean_{scale}", f"{feature}_std_{scale}"]
     return [*names, f"{feature}_acceleration"]
+
+
+# Reasons of a drift status.
+DRIFT_OK = "Within baseline thresholds."
+DRIFT_OVER = "{metric} %.2f exceeds {level} threshold (%.2f)."

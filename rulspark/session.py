@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,46 +16,75 @@ DEFAULTS = {
     # The JVM leaves longer methods uncompiled; past this size Spark evaluates wide
     # projections by smaller generated methods instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Call sites in error messages cost a stack walk per column expression.
+}
+# Fixed once the session starts. Call sites in error messages cost a stack walk per column
+# expression; checkpoints go with their last reference.
+STATIC = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
 def build_session(app: str = "rulspark", master: str | None = None, **conf) -> SparkSession:
-    """A session with this library's defaults; on a cluster the submit settings win."""
+    """A session with ``conf``; this library's defaults fill in what is not set.
+
+    A value given to the builder would override ``spark-submit --conf``, so defaults are
+    set afterwards, and only where neither the submit nor ``conf`` names a value.
+    """
+    if (running := SparkSession.getActiveSession()) is not None:
+        return running
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    # Under spark-submit the JVM already holds the submitted values.
+    static = {} if "PYSPARK_GATEWAY_PORT" in os.environ else STATIC
+    for key, value in {**static, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    given = dict(session.sparkContext.getConf().getAll())
+    for key, value in DEFAULTS.items():
+        if key not in given:
+            session.conf.set(key, value)
+    return session
+
+
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext._jsc.sc().isLocal()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, as the cluster names it.
 
-    Only a session that names none (a unit test) gets a folder of this machine.
+    A session on one machine may leave it unset and gets a folder of its warehouse; on a
+    cluster that is an error, for executors would not see each other's files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return (configured or _local_folder()).rstrip("/")
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="rulspark-")
+    if configured:
+        return configured.rstrip("/")
+    if not is_local(spark):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/rulspark-{label}-{uuid.uuid4().hex}"
-
-
-def durable(df: DataFrame, label: str = "rows") -> DataFrame:
-    """The same rows read back from a table in the shared folder.
-
-    Cuts the lineage: a lost executor re-reads the table instead of running the
-    plan again, and every reader sees the very same rows.
+    """A fresh path in the shared folder; the driver removes it when it ends."""
+    path = f"{shared_dir(spark)}/rulspark-{label}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop)
+    files.deleteOnExit(hadoop)
+    return f"{path}/rows"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """The same rows, stored in the shared folder.
+
+    Cuts the lineage: a lost executor re-reads the checkpoint instead of running the plan
+    again, and every reader sees the very same rows in the same partitions. For narrow rows:
+    checkpoints are not pruned. Spark removes them with their last reference where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint(eager=True)

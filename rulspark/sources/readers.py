@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rulspark.errors import MissingSections, NothingFound
 from rulspark.functions.columns import col
 from rulspark.operators.projection import union_all
+from rulspark.operators.stats import rows_from
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -38,9 +40,22 @@ def scan_snapshot(
 
 
 def existing_partitions(spark: SparkSession, path: str, column: str = "snapshot_date") -> list:
-    """Partition values present in a layer, ascending; they are few."""
-    table = read_partitioned(spark, path)
-    return [r[0] for r in table.select(col(column)).distinct().orderBy(column).collect()]
+    """Partition values present in a layer, ascending, from its folders; no file is opened."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        raise NothingFound(f"no data at {path}")
+    names = [s.getPath().getName() for s in files.listStatus(root) if s.isDirectory()]
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    return sorted(_typed(v) for v in values if v != "__HIVE_DEFAULT_PARTITION__")
+
+
+def _typed(value: str):
+    """A date or whole number where the text is one."""
+    try:
+        return date.fromisoformat(value)
+    except ValueError:
+        return int(value) if value.lstrip("-").isdigit() else value
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
@@ -48,16 +63,16 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def tolerant_union(frames: Sequence[DataFrame], schema: T.StructType) -> DataFrame:
+def tolerant_union(frames: Sequence[DataFrame], schema: T.StructType, strict: bool = True) -> DataFrame:
     """Stack tables whose columns differ in type or presence, cast to one schema.
 
-    A value that does not fit its type becomes NULL, an absent column NULL.
+    An absent column is NULL. A value that does not fit its type is an error, or NULL if not
+    ``strict``; ``rejected_values`` counts those.
     """
     cast = [
         df.select(
             *[
-                (col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType))
-                .alias(f.name)
+                (_fit(f, strict) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
                 for f in schema
             ]
         )
@@ -66,6 +81,27 @@ def tolerant_union(frames: Sequence[DataFrame], schema: T.StructType) -> DataFra
     return union_all(cast)
 
 
+def _fit(field: T.StructField, strict: bool) -> Column:
+    value, kind = col(field.name), field.dataType
+    fitting = value.try_cast(kind)
+    if not strict:
+        return fitting
+    bad = value.isNotNull() & fitting.isNull()
+    said = F.concat(F.lit(f"{field.name} does not fit {kind.simpleString()}: "), value.cast("string"))
+    return F.when(bad, F.raise_error(said)).otherwise(fitting)
+
+
+def rejected_values(frames: Sequence[DataFrame], schema: T.StructType) -> DataFrame:
+    """How many values of each column ``tolerant_union`` cannot cast."""
+    parts = []
+    for df in frames:
+        held = [f for f in schema if f.name in df.columns]
+        bad = [col(f.name).isNotNull() & col(f.name).try_cast(f.dataType).isNull() for f in held]
+        records = [F.struct(F.lit(f.name).alias("feature"), F.count_if(b).alias("n")) for f, b in zip(held, bad)]
+        parts.append(rows_from(df, [], records))
+    return union_all(parts).groupBy("feature").agg(F.sum("n").alias("n_rejected"))
+
+
 def read_baseline(
     spark: SparkSession, path: str, schema: T.StructType, fallback: dict | None = None
 ) -> DataFrame:

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rulspark.functions.columns import col
-from rulspark.operators.ordering import fits_task, ordered_series
+from rulspark.operators.ordering import ordered_series
 from rulspark.schema import MAX_ROWS_PER_FILE
 
 # Options of the silver and label tables.
@@ -50,15 +49,10 @@ def write_label_base(
 ) -> None:
     """By snapshot and dataset, or by snapshot alone.
 
-    Unpartitioned snapshots become one file each while all of them fit one; bigger
-    ones are cut into files like any other layer.
+    Either way a snapshot is cut into files of at most ``max_rows``, so one that fits a
+    file is one file.
     """
-    if partitioned:
-        write_layer(df, path, by=["snapshot_date", "dataset"], max_rows=max_rows)
-    elif fits_task(df, ["snapshot_date"], max_rows):
-        write_layer(df.repartition(col("snapshot_date")), path, by=["snapshot_date"], spread=False)
-    else:
-        write_layer(df, path, by=["snapshot_date"], max_rows=max_rows)
+    write_layer(df, path, by=["snapshot_date", *(["dataset"] if partitioned else [])], max_rows=max_rows)
 
 
 def series_table(
@@ -68,12 +62,6 @@ def series_table(
     return ordered_series(df.select(col(unit), col(seq), *[col(c) for c in columns]), unit, seq)
 
 
-def write_series(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    series_table(df, columns).write.mode("overwrite").option(
-        "maxRecordsPerFile", MAX_ROWS_PER_FILE
-    ).parquet(path)
-
-
 def write_splits(df: DataFrame, path: str) -> None:
     write_layer(df, path, by=["split"])
 
@@ -91,9 +79,3 @@ def write_history(history: DataFrame, path: str, mode: str = "upsert") -> None:
         history.write.mode("append").parquet(path)
     else:
         write_layer(history, path, by=["snapshot_date"])
-
-
-def residual_table(residuals: DataFrame, path: str) -> None:
-    residuals.withColumn("residual", F.col("residual").cast("float")).write.mode(
-        "overwrite"
-    ).option("compression", "snappy").parquet(path)

@@ -2,41 +2,64 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from rulspark.operators.projection import flatten_arrays
+from rulspark.operators.silver import silver_frame
 from rulspark.schema import BRONZE_SCHEMA
 from rulspark.sources.writers import overwrite_snapshots
 
+LANDING_SCHEMA = T.StructType([*BRONZE_SCHEMA, T.StructField("arrival", T.LongType())])
+
+
+def land(bronze: DataFrame, landing: str, arrival: int | None = None) -> None:
+    """Add bronze rows to the landing folder, by day and arrival.
+
+    ``arrival`` rises from one delivery to the next (the time in nanoseconds unless given);
+    a day that comes again replaces what came before.
+    """
+    number = time.time_ns() if arrival is None else arrival
+    rows = bronze.withColumn("arrival", F.lit(number).cast("long"))
+    rows.write.mode("append").partitionBy("snapshot_date", "arrival").parquet(landing)
+
+
+def latest_arrival(landed: DataFrame) -> DataFrame:
+    """Rows of each snapshot's last arrival."""
+    last = landed.groupBy("snapshot_date").agg(F.max("arrival").alias("arrival"))
+    return landed.join(F.broadcast(last), ["snapshot_date", "arrival"], "left_semi")  # one row per day
+
 
 def incremental_snapshots(
     spark: SparkSession,
-    bronze: str,
+    landing: str,
     silver: str,
     checkpoint: str,
     aux_layout: str = "with_dataset",
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Process every bronze file not seen yet, then stop.
+    """Process every landed file not seen yet, then stop.
 
-    The checkpoint remembers what is done, so a rerun without new files does
-    nothing. A batch names the snapshots it touches; they are rebuilt whole from
-    bronze and replace their silver partitions, so a late or resent file, or a
-    batch replayed after a failure, leaves no half snapshot and no duplicate.
+    The checkpoint remembers what is done, so a rerun without new files does nothing. A batch
+    names the days it touches; each is rebuilt whole from its last arrival, read by the days'
+    folders alone, and replaces its silver partition. So a resent day replaces the day, and a
+    batch replayed after a failure leaves no half snapshot and no duplicate.
     """
 
     def replace(batch: DataFrame, _: int) -> None:
-        dates = batch.select("snapshot_date").distinct()
-        table = batch.sparkSession.read.schema(BRONZE_SCHEMA).parquet(bronze)
-        touched = table.join(dates, "snapshot_date", "left_semi")
-        overwrite_snapshots(flatten_arrays(touched, aux_layout=aux_layout), silver)
+        days = [r[0] for r in batch.select("snapshot_date").distinct().collect()]  # days of one batch
+        table = batch.sparkSession.read.schema(LANDING_SCHEMA).parquet(landing)
+        touched = latest_arrival(table.where(F.col("snapshot_date").isin(days))).drop("arrival")
+        overwrite_snapshots(silver_frame(touched, aux_layout), silver)
 
-    stream = spark.readStream.schema(BRONZE_SCHEMA)
+    stream = spark.readStream.schema(LANDING_SCHEMA)
     if max_files is not None:
         stream = stream.option("maxFilesPerTrigger", max_files)
     return (
-        stream.parquet(bronze)
+        stream.parquet(landing)
         .writeStream.foreachBatch(replace)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -12,7 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
@@ -21,6 +21,8 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
+            "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -45,28 +45,61 @@ def many_partitions(spark):
     spark.conf.set(key, "true")
 
 
-@pytest.mark.parametrize("limit", [10_000, 50])
-def test_ordinal_is_dense_whichever_way(frame, hot, limit, many_partitions):
+def test_ordinal_is_dense(frame, hot, many_partitions):
     got = (
-        O.with_ordinal(frame, ["unit"], ["time", "position"], "seq", max_task_rows=limit)
+        O.with_ordinal(frame, ["unit"], ["time", "position"], "seq")
         .select("unit", "position", "seq").toPandas().sort_values("position").reset_index(drop=True)
     )
     want = numbered(hot)[["unit", "position", "seq"]].reset_index(drop=True)
     pd.testing.assert_frame_equal(got, want, check_dtype=False)
 
 
-def test_one_engine_spreads_over_partitions(frame, many_partitions):
-    alone = frame.where("unit = 'DS01_001'")
-    out = O._ordinal_by_range(alone, ["unit"], ["time", "position"], "seq")
-    pieces = out.withColumn("piece", F.spark_partition_id())
-    sizes = [r["count"] for r in pieces.groupBy("piece").count().collect()]
+def test_one_engine_spreads_over_partitions(spark, many_partitions):
+    alone = spark.range(700).selectExpr("'u' AS unit", "int(id / 10) AS time", "id AS position")
+    out = O.with_ordinal(alone, ["unit"], ["time", "position"], "seq").withColumn("at", F.spark_partition_id())
+    sizes = [r["count"] for r in out.groupBy("at").count().collect()]
     assert len(sizes) > 1 and max(sizes) < 400
-    assert out.agg(F.max("seq"), F.count_distinct("seq")).first()[:] == (699, 700)
+    assert out.where("seq <> position").count() == 0
 
 
-def test_ordinal_without_keys(frame, many_partitions):
-    got = O.with_ordinal(frame, [], ["position"], "rank", max_task_rows=10)
+def test_ordinal_without_keys_and_with_nulls(spark, frame, many_partitions):
+    got = O.with_ordinal(frame, [], ["position"], "rank")
     assert got.where("rank <> position").count() == 0
+    rows = spark.createDataFrame([(None, 1, 1), (None, None, 2), ("a", None, 3), ("a", 2, 4), ("a", 2, 5)], "k string, t int, p int")
+    got = {r.p: r.n for r in O.with_ordinal(rows, ["k"], ["t", "p"], "n").collect()}
+    assert got == {2: 0, 1: 1, 3: 0, 4: 1, 5: 2}
+
+
+def test_a_null_position_is_an_error(spark):
+    rows = spark.createDataFrame([("u", 0, 1.0), ("u", None, 2.0)], "unit string, seq long, x double")
+    with pytest.raises(Exception, match="seq is null"):
+        O.in_blocks(rows, 1, lambda cut, w: cut).collect()
+
+
+def test_ema_carries_over_any_gap(spark):
+    from rulspark.operators.rolling import ema
+
+    values = [5.0] + [None] * 599 + [7.0, None, 9.0]
+    other = [None, 1.0] + [float(i % 7) for i in range(601)]
+    rows = [(1, i, v, o) for i, (v, o) in enumerate(zip(values, other))]
+    got = ema(spark.createDataFrame(rows, "dataset int, time int, x double, y double"), ["x", "y"]).toPandas().sort_values("time")
+    for name, v in (("x", values), ("y", other)):
+        want = pd.Series(v, dtype=float).ewm(span=10, adjust=False).mean()
+        np.testing.assert_allclose(got[name].to_numpy(float), want.to_numpy(), rtol=1e-12)
+    rng = np.random.default_rng(3)
+    long = [None if u < 0.3 else float(x) for u, x in zip(rng.random(5000), rng.normal(size=5000))]
+    frame = spark.createDataFrame([(2, i, v) for i, v in enumerate(long)], "dataset int, time int, x double")
+    got = ema(frame, ["x"], span=200).toPandas().sort_values("time")
+    want = pd.Series(long, dtype=float).ewm(span=200, adjust=False).mean()
+    np.testing.assert_allclose(got["x"].to_numpy(float), want.to_numpy(), rtol=1e-9)
+
+
+def test_keep_first_needs_no_sort_aggregate(spark):
+    df = spark.range(100).selectExpr("id % 7 AS k", "id AS seq", "id * 2 AS v")
+    out = O.keep_first(df, ["k"])
+    assert sorted(tuple(r) for r in out.collect()) == [(k, k, 2 * k) for k in range(7)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan
 
 
 def pandas_rolling(pdf, column):

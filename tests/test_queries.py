@@ -27,23 +27,3 @@ def test_entry_gives_a_status_per_dataset(spark):
     rows = entry(spark).collect()
     assert {r.drift_status for r in rows} <= {"ok", "warning", "critical"}
     assert sum(r.is_total for r in rows) == 1
-
-
-def test_trees_beat_the_mean(spark, sf_dir):
-    rows = QUERIES["gbt_predictions"](spark, sf_dir).where("split <> 'oot'").toPandas()
-    assert len(rows) > 0
-    model = (rows.Prediction_Error.astype(float) ** 2).mean()
-    mean = ((rows.RUL_Actual - rows.RUL_Actual.mean()).astype(float) ** 2).mean()
-    assert model < mean
-
-
-def test_linear_forecast_is_close(spark, sf_dir):
-    rows = QUERIES["forecast_lr"](spark, sf_dir).toPandas()
-    assert rows.time.min() == 30
-    assert (rows.Prediction_Error.abs().astype(float)).mean() < 10
-
-
-def test_importances_are_shares(spark, sf_dir):
-    rows = QUERIES["feature_importance"](spark, sf_dir).toPandas()
-    assert len(rows) <= 20 and rows.importance.between(0, 1).all()
-    assert rows.importance.is_monotonic_decreasing

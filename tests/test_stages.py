@@ -51,7 +51,7 @@ def test_all_stages_for_two_days(spark, base, monkeypatch):
     run(spark, base, "train-tabular", DATES[1], maxDepth=3, maxIter=5)
     run(spark, base, "score-tabular", DATES[0])
     assert pending(lake, "tabular") == DATES[1:]
-    run(spark, base, "train-sequence", DATES[0], maxIter=3)
+    run(spark, base, "train-sequence", DATES[0], regParam=0.1)
     run(spark, base, "forecast-sequence", DATES[0])
     for _ in range(2):
         run(spark, base, "monitor-tabular", DATES[0])
@@ -65,6 +65,27 @@ def test_all_stages_for_two_days(spark, base, monkeypatch):
     forecast = read_partitioned(spark, lake.path("inference/sequence"))
     assert forecast.agg(F.min("time")).first()[0] == 30
     assert set(r.dataset for r in forecast.select("dataset").distinct().collect()) <= {f"DS0{i}" for i in range(1, 8)}
+    short = read_partitioned(spark, lake.path("inference/sequence_unscored"))
+    assert short.count() > 0 and short.agg(F.max("n_rows")).first()[0] <= 30
+    for model in ("tabular", "sequence"):
+        ranked = read_partitioned(spark, lake.path(f"monitoring/{model}/report/unit_rmse"))
+        assert ranked.count() > 0
+        bins = read_partitioned(spark, lake.path(f"monitoring/{model}/report/error_histogram"))
+        assert bins.count() == 50
+
+    run(spark, base, "split", DATES[0], oot_sets=[7])
+    dealt = read_partitioned(spark, lake.path("gold/splits"))
+    assert dealt.count() == read_partitioned(spark, lake.path("gold/tabular_features")).where(F.col("snapshot_date") == DATES[0]).count()
+    assert dealt.groupBy("unit").agg(F.count_distinct("split").alias("n")).where("n > 1").count() == 0
+
+
+def test_series_files_keep_their_order(spark, base):
+    import pyarrow.parquet as pq
+    from pathlib import Path
+
+    files = sorted(Path(base, "gold/series_labels", f"snapshot_date={DATES[0]}").glob("*.parquet"))
+    seen = [(u, s) for f in files for u, s in zip(*[pq.ParquetFile(f).read().column(c).to_pylist() for c in ("unit", "seq")])]
+    assert seen == sorted(seen) and len(seen) > 0
 
 
 def test_a_stage_without_input_says_so(spark, base):

@@ -49,6 +49,23 @@ def test_quantiles_are_exact_however_narrow_the_brackets(table, columns, max_row
             assert got[(c, p)] == pytest.approx(np.quantile(v, p), rel=1e-12, abs=1e-12), (c, p)
 
 
+def test_quantiles_and_histogram_of_infinite_values(spark):
+    inf = float("inf")
+    values = [-inf] * 40 + [float(i) for i in range(300)] + [inf] * 60 + [NAN, None]
+    df = spark.createDataFrame([(v,) for v in values], "a double").repartition(3)
+    probs = (0.0, 0.05, 0.2, 0.3, 0.5, 0.8, 0.9, 1.0)
+    known = np.sort([v for v in values if v is not None and v == v])
+    for limit in (10**6, 20):
+        got = {r.prob: r.value for r in exact_quantiles(df, ["a"], probs, limit, 8).collect()}
+        for p in probs:
+            at = p * (len(known) - 1)
+            low, high = known[int(np.floor(at))], known[int(np.ceil(at))]
+            want = low if low == high else low + (at - np.floor(at)) * (high - low)
+            assert got[p] == pytest.approx(want), (p, limit)
+    rows = S.histogram(df, "a", 10).orderBy("bin").collect()
+    assert [r.n for r in rows] == [30] * 10 and rows[0].bin_low == 0.0 and rows[-1].bin_high == 299.0
+
+
 def test_quantiles_skip_missing_and_empty_columns(spark):
     df = spark.createDataFrame([(1.0, None), (NAN, None), (3.0, None), (None, None)], "a double, b double")
     got = {r.feature: r.value for r in exact_quantiles(df, ["a", "b"], [0.5]).collect()}
@@ -56,13 +73,13 @@ def test_quantiles_skip_missing_and_empty_columns(spark):
     assert exact_quantiles(df, ["b"], [0.5]).count() == 0
 
 
-@pytest.mark.parametrize("limit", [10**6, 100])
-def test_ks_equals_brute_force_with_and_without_buckets(table, columns, limit):
+@pytest.mark.parametrize("pieces", [None, 1, 20])
+def test_ks_equals_brute_force_however_cut(table, columns, pieces):
     a, b = table.where("whole <= 1"), table.where("whole > 1")
     mask = columns["whole"] <= 1
     got = {
         r.feature: r
-        for r in H.ks_two_sample(a, b, ["normal", "hot", "heavy", "constant"], max_task_rows=limit, buckets=20).collect()
+        for r in H.ks_two_sample(a, b, ["normal", "hot", "heavy", "constant"], pieces=pieces).collect()
     }
     for c in got:
         x, y = np.sort(columns[c][mask]), np.sort(columns[c][~mask])

@@ -15,7 +15,7 @@ from rulspark.schema import BRONZE_SCHEMA
 from rulspark.sources import bronze as B
 from rulspark.sources import readers as R
 from rulspark.sources import writers as W
-from rulspark.streaming.incremental import incremental_snapshots
+from rulspark.streaming.incremental import incremental_snapshots, land
 
 
 @pytest.fixture
@@ -66,7 +66,7 @@ def parquet_files(path):
     return [f for _, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
 
 
-def test_single_files_only_while_a_snapshot_fits_one(spark, table, tmp_path):
+def test_label_base_files_are_bounded(spark, table, tmp_path):
     W.write_label_base(table, str(tmp_path / "single"), partitioned=False)
     assert len(parquet_files(tmp_path / "single")) == 4
     W.write_label_base(table, str(tmp_path / "big"), partitioned=False, max_rows=100)
@@ -78,7 +78,11 @@ def test_tolerant_union_casts_what_fits(spark):
     a = spark.createDataFrame([("1", "x")], "k string, v string")
     b = spark.createDataFrame([(2,)], "k int")
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.DoubleType())])
-    assert sorted(tuple(r) for r in R.tolerant_union([a, b], schema).collect()) == [(1, None), (2, None)]
+    loose = R.tolerant_union([a, b], schema, strict=False)
+    assert sorted(tuple(r) for r in loose.collect()) == [(1, None), (2, None)]
+    assert {r.feature: r.n_rejected for r in R.rejected_values([a, b], schema).collect()} == {"k": 0, "v": 1}
+    with pytest.raises(Exception, match="v does not fit double: x"):
+        R.tolerant_union([a, b], schema).collect()
 
 
 def test_read_merged(spark, tmp_path):
@@ -104,24 +108,29 @@ def test_ingest_keeps_all_rows_of_both_splits(spark):
     assert {r.split: r["count"] for r in out.groupBy("split").count().collect()} == {"dev": 3, "test": 8}
 
 
-def test_stream_is_idempotent_and_takes_late_files(spark, tmp_path):
-    bronze, silver, state = (str(tmp_path / d) for d in ("bronze", "silver", "state"))
+def test_stream_is_idempotent_and_a_resent_day_replaces_the_day(spark, tmp_path):
+    landing, silver, state = (str(tmp_path / d) for d in ("landing", "silver", "state"))
 
-    def land(day, n, value):
+    def deliver(day, n, value):
         dev, _ = arrays(spark, day, n, value)
-        B.ingest_bronze(dev, dev.limit(0), day).select(*BRONZE_SCHEMA.names).write.mode("append").parquet(bronze)
+        rows = dev.withColumn("position", F.col("position") * 3 + 5)
+        land(B.ingest_bronze(rows, rows.limit(0), day).select(*BRONZE_SCHEMA.names), landing)
 
     def run():
-        incremental_snapshots(spark, bronze, silver, state).awaitTermination()
+        incremental_snapshots(spark, landing, silver, state).awaitTermination()
         df = R.read_partitioned(spark, silver)
+        dense = df.groupBy("snapshot_date", "dataset", "unit_orig").agg(F.max("seq").alias("top"), F.count("*").alias("n"))
+        assert dense.where("top <> n - 1").count() == 0
         return {(str(r.snapshot_date), r.Altitude): r["count"] for r in df.groupBy("snapshot_date", "Altitude").count().collect()}
 
-    land("2025-01-01", 5, 1.0)
+    deliver("2025-01-01", 5, 1.0)
     assert run() == {("2025-01-01", 1.0): 5}
     assert run() == {("2025-01-01", 1.0): 5}
-    land("2025-01-02", 4, 2.0)
-    land("2025-01-01", 2, 3.0)
-    assert run() == {("2025-01-01", 1.0): 5, ("2025-01-01", 3.0): 2, ("2025-01-02", 2.0): 4}
+    deliver("2025-01-02", 4, 2.0)
+    deliver("2025-01-01", 2, 3.0)
+    assert run() == {("2025-01-01", 3.0): 2, ("2025-01-02", 2.0): 4}
+    deliver("2025-01-02", 4, 2.0)
+    assert run() == {("2025-01-01", 3.0): 2, ("2025-01-02", 2.0): 4}
 
 
 def test_any_python_model_scores_in_batches(table):
@@ -138,8 +147,10 @@ def test_trees_per_dataset_and_importance(spark):
         "double(id * 7 % 11) AS b", "double(id % 50) * (id % 2 + 1) AS RUL_Clipped",
     )
     small = {"maxDepth": 4, "maxIter": 5, "stepSize": 0.5}
-    out = L.train_per_dataset(df, df, ["a", "b"], [1, 2], **small)
+    out = L.train_per_dataset(df, df, ["a", "b"], **small)
     assert out.count() == 600 and out.agg(F.avg(F.abs("Prediction_Error"))).first()[0] < 5
+    with pytest.raises(ValueError, match="no model"):
+        L.train_per_dataset(df.where("dataset = 1"), df, ["a", "b"], **small)
     model = L.train_gbt(df, ["a", "b"], **small)
     top = L.top_features(L.feature_importance(model, ["a", "b"], spark), 1).first()
     assert top.feature == "a"
