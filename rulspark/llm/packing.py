@@ -17,7 +17,6 @@ empty table gives no pieces.
 from __future__ import annotations
 
 import re
-import uuid
 import zlib
 from functools import lru_cache
 
@@ -32,6 +31,7 @@ from tokenizers import Tokenizer
 from rulspark.llm.arrow import binaries, filled, slices, strings
 from rulspark.llm.bpe import encoding
 from rulspark.llm.shared import fixed, table
+from rulspark.session import scratch_path
 
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 LENGTH, END = 2048, 1
@@ -220,7 +220,6 @@ def pack(
     vocabulary: str | None = None,
     ranks: str | None = None,
     pattern: str = public_tokenizers.PATTERN,
-    store: str | None = None,
 ) -> DataFrame:
     """Pieces of documents in sequences of ``length`` ids.
 
@@ -228,8 +227,7 @@ def pack(
     (unsigned 32-bit little-endian), ``doc_tokens``, ``sequence_id`` and ``offset``.
     """
     spark = df.sparkSession
-    store = store or spark.conf.get("spark.checkpoint.dir").rstrip("/")
-    path = f"{store}/ids-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "ids")
     tokenise(
         df,
         vocabulary or public_tokenizers.path(VOCABULARY),

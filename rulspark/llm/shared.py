@@ -7,6 +7,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rulspark.session import durable
+
 PACKAGE = Path(__file__).resolve().parents[1]
 
 
@@ -35,14 +37,8 @@ def partitions(spark: SparkSession) -> int:
 
 
 def fixed(df: DataFrame) -> DataFrame:
-    """The same rows stored in the folder that the cluster names for checkpoints.
-
-    Cuts the lineage. Only for narrow rows: checkpoints are neither compressed nor pruned.
-    """
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        raise ValueError("name a shared folder in spark.checkpoint.dir")
-    return df.checkpoint(eager=True)
+    """The same rows, narrow ones, stored in the folder that the cluster names for checkpoints."""
+    return durable(df)
 
 
 def one_label(labels: DataFrame, name: str) -> DataFrame:
