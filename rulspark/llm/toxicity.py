@@ -39,7 +39,7 @@ PASSAGE = 8
 THRESHOLD = 0.7
 HELD_OUT = 1
 # Bound of the labelled sample: rows of each class, and code points of a text.
-TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 1_500, 3_000, 20_000
+TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 1_500, 3_500, 12_000
 EPOCHS, WARM_UP, BATCH, SEED = 6, 2, 50, 5
 CALIBRATE = 5
 # Step size of the vectors and, as a share of it, of the softmax; averages are multiplied by
@@ -157,18 +157,20 @@ class Classifier:
 def train(texts: list[str], labels: np.ndarray) -> Classifier:
     """Vectors and softmax from whole texts and their classes (0 or 1)."""
     got = grams(filled(pa.array(texts, pa.large_string())))
-    # For every passage its buckets, one passage after the other.
-    found, owner = [], []
+    # For every passage its buckets, one passage after the other; within it by length of the
+    # n-gram. Placed rather than sorted, which would take several times the memory.
+    counts = []
     for n in NGRAMS:
+        _, inside = got.buckets(n)
+        counts.append(got.sums(inside).astype(np.int64))
+    bounds = np.concatenate([[0], np.cumsum(np.sum(counts, axis=0))])
+    buckets = np.empty(bounds[-1], np.int32)
+    begins = bounds[:-1].copy()
+    for n, count in zip(NGRAMS, counts):
         bucket, inside = got.buckets(n)
-        at = np.flatnonzero(inside)
-        found.append(bucket[at])
-        owner.append((np.searchsorted(got.starts, at, side="right") - 1).astype(np.int32))
-    buckets, owner = np.concatenate(found), np.concatenate(owner)
-    order = np.argsort(owner, kind="stable")
-    buckets = buckets[order].astype(np.int32)
-    bounds = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(got.starts)))])
-    del found, owner, order
+        shift = (begins - np.concatenate([[0], np.cumsum(count)[:-1]])).astype(np.int32)
+        buckets[np.arange(count.sum(), dtype=np.int32) + np.repeat(shift, count)] = bucket[inside]
+        begins += count
 
     draw = np.random.default_rng(SEED)
     size = 1 << BUCKET_BITS
