@@ -10,11 +10,14 @@ from rulspark.operators import stats as S
 from rulspark.operators.ordering import extreme_labels
 from rulspark.operators.scaling import fit_minmax, scale
 from rulspark.plans.evaluation import scored_a
+from rulspark.operators.quantiles import exact_quantiles
 from rulspark.plans.frames import (
+    DISPLAY_SENSOR,
     PREDICTIONS_SQL,
     QUALITY_SQL,
     READINGS_SQL,
     SENSORS,
+    predictions_a,
     q6,
     q9,
     quality_rows,
@@ -26,7 +29,7 @@ from rulspark.plans.frames import (
     two_samples,
 )
 from rulspark.plans.registry import query
-from rulspark.schema import EMA_SPAN, LABEL, LABEL_LAGS, LABEL_THRESHOLDS
+from rulspark.schema import EMA_SPAN, LABEL, LABEL_LAGS, LABEL_THRESHOLDS, TREND_SENSORS
 
 DIRTY = ["s1", "s2", "flat", "nearly_flat"]
 
@@ -82,32 +85,37 @@ smooth AS (
 )
 
 
+def _trend(spark, sf_dir):
+    """The trend sensors by their display names, as the label base holds them."""
+    df = readings(spark, sf_dir, seq=False)
+    named = [F.col(DISPLAY_SENSOR[n]).alias(n) for n in TREND_SENSORS]
+    return S.smoothed_trend(df.select("dataset", "time", LABEL, *named), TREND_SENSORS)
+
+
 @query(
     _SMOOTH_SQL
     + " UNION ALL ".join(
-        f"SELECT dataset, '{s}' AS feature, CASE WHEN count(*) > 5 THEN {q6(f'corr({s}, rul)')} END AS corr "
+        f"SELECT dataset, '{n}' AS feature, CASE WHEN count(*) > 5 THEN {q6(f'corr({DISPLAY_SENSOR[n]}, rul)')} END AS corr "
         "FROM smooth GROUP BY dataset"
-        for s in SENSORS
+        for n in TREND_SENSORS
     )
 )
 def sensor_rul_corr(spark, sf_dir):
-    trend = S.smoothed_trend(readings(spark, sf_dir, seq=False), SENSORS)
-    return _rounded(S.sensor_label_corr(trend, SENSORS))
+    return _rounded(S.sensor_label_corr(_trend(spark, sf_dir), TREND_SENSORS))
 
 
 @query(
     _SMOOTH_SQL
     + " UNION ALL ".join(
-        f"SELECT dataset, '{s}' AS feature, {k} AS lag, CASE WHEN count(x) > 5 THEN {q6('corr(x, rul)')} END AS corr "
-        f'FROM (SELECT dataset, rul, lag({s}, {k}) OVER (PARTITION BY dataset ORDER BY "time") AS x FROM smooth) '
+        f"SELECT dataset, '{n}' AS feature, {k} AS lag, CASE WHEN count(x) > 5 THEN {q6('corr(x, rul)')} END AS corr "
+        f'FROM (SELECT dataset, rul, lag({DISPLAY_SENSOR[n]}, {k}) OVER (PARTITION BY dataset ORDER BY "time") AS x FROM smooth) '
         "GROUP BY dataset"
-        for s in SENSORS
+        for n in TREND_SENSORS
         for k in LABEL_LAGS
     )
 )
 def sensor_rul_lagcorr(spark, sf_dir):
-    trend = S.smoothed_trend(readings(spark, sf_dir, seq=False), SENSORS)
-    return _rounded(S.sensor_label_lagcorr(trend, SENSORS))
+    return _rounded(S.sensor_label_lagcorr(_trend(spark, sf_dir), TREND_SENSORS))
 
 
 @query(
@@ -195,6 +203,43 @@ def residual_histogram(spark, sf_dir):
     return _rounded(S.histogram(scored_a(spark, sf_dir), "Prediction_Error", 50))
 
 
+def _dirty(event_id, value):
+    """Of a hundred values one is missing, one infinite and one negative infinite."""
+    k = event_id % 100
+    odd = F.when(k == 0, float("nan")).when(k == 1, float("inf")).when(k == 2, -float("inf"))
+    return F.coalesce(odd, value.cast("double"))
+
+
+@query(
+    "WITH " + PREDICTIONS_SQL + ",\ndirty AS (SELECT err FROM pred_a WHERE event_id % 100 > 2),\n"
+    + _histogram_sql("dirty", "err", 50)
+)
+def dirty_histogram(spark, sf_dir):
+    """Residuals of which some are not numbers: only finite ones are counted."""
+    df = predictions_a(spark, sf_dir, seq=False)
+    return _rounded(S.histogram(df.select(_dirty(F.col("event_id"), F.col("Prediction_Error")).alias("x")), "x", 50))
+
+
+@query(
+    sql_on(
+        READINGS_SQL,
+        " UNION ALL ".join(
+            f"SELECT '{s}' AS feature, {p}e0 AS prob, {q6(f'quantile_cont(x, {p})')} AS value FROM ("
+            f"SELECT CASE event_id % 100 WHEN 1 THEN 'inf'::DOUBLE WHEN 2 THEN '-inf'::DOUBLE ELSE {s} END AS x "
+            "FROM readings WHERE event_id % 100 > 0)"
+            for s in SENSORS
+            for p in (0.1, 0.5, 0.9)
+        ),
+    )
+)
+def dirty_quantiles(spark, sf_dir):
+    """Quantiles over missing and infinite readings, by brackets that are narrowed."""
+    df = samples(spark, sf_dir)
+    odd = df.select(*[_dirty(F.col("event_id"), F.col(s)).alias(s) for s in SENSORS])
+    out = exact_quantiles(odd, SENSORS, (0.1, 0.5, 0.9), max_rows=500, bins=64)
+    return out.select("feature", "prob", r6("value").alias("value"))
+
+
 @query("WITH " + READINGS_SQL + ",\n" + _histogram_sql("readings", "s5", 30))
 def sensor_histogram(spark, sf_dir):
     return _rounded(S.histogram(samples(spark, sf_dir), "s5", 30))
