@@ -13,6 +13,18 @@ import pyarrow.compute as pc
 SLICE_BYTES = 2_000_000
 
 
+_MODEL: dict = {}
+
+
+def held(key: tuple, make):
+    """The model this worker uses now. Workers outlive a stage, so one model is kept at a
+    time and the next one takes its place."""
+    if _MODEL.get("key") != key:
+        _MODEL.clear()
+        _MODEL.update(key=key, value=make())
+    return _MODEL["value"]
+
+
 def filled(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """The texts with null as the empty text, with 64-bit offsets."""
     if isinstance(column, pa.ChunkedArray):

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import base64
 from array import array
-from functools import lru_cache
 
 import public_tokenizers
 import pyarrow as pa
@@ -25,7 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rulspark.llm.arrow import binaries, filled, slices, strings
+from rulspark.llm.arrow import binaries, filled, held, slices, strings
 from rulspark.llm.shared import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -35,9 +34,12 @@ CHUNK, OVERLAP = 32_768, 1_024
 MARGIN = 16
 
 
-@lru_cache(maxsize=4)
 def encoding(path: str, pattern: str) -> tiktoken.Encoding:
-    """A tokenizer from a rank file on this worker; nothing is trained or downloaded."""
+    return held(("ranks", path, pattern), lambda: load_ranks(path, pattern))
+
+
+def load_ranks(path: str, pattern: str) -> tiktoken.Encoding:
+    """A tokenizer from a rank file; nothing is trained or downloaded."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})

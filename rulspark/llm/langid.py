@@ -19,14 +19,14 @@ rows with a null id take no part in learning; an empty table gives an empty tabl
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulspark.llm.arrow import filled, flat, slices
+from rulspark.llm.arrow import filled, flat, held, slices
 from rulspark.llm.shared import fold, table
 
 UNKNOWN = "und"
@@ -66,35 +66,35 @@ def samples(labelled: DataFrame, passages: int = PASSAGES, passage_bytes: int =
     return {lang: b"\n".join(pieces) for lang, pieces in sorted(out.items())}
 
 
-def suffix_automaton(data: bytes) -> list[dict[int, int]]:
-    """Transitions of the smallest automaton that reads every substring of ``data``."""
-    moves: list[dict[int, int]] = [{}]
+def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
+    """Transitions (state, symbol) -> state, -1 for none, of the smallest automaton that reads
+    every substring of ``symbols``. A flat array: n symbols give at most 2n states."""
+    moves = array("i", [-1]) * (2 * width * (len(symbols) + 1))
     link, length = [-1], [0]
     last = 0
-    for c in data:
-        here = len(moves)
-        moves.append({})
+    for c in symbols:
+        here = len(link)
         length.append(length[last] + 1)
         link.append(0)
         p = last
-        while p >= 0 and c not in moves[p]:
-            moves[p][c] = here
+        while p >= 0 and moves[p * width + c] < 0:
+            moves[p * width + c] = here
             p = link[p]
         if p >= 0:
-            q = moves[p][c]
+            q = moves[p * width + c]
             if length[p] + 1 == length[q]:
                 link[here] = q
             else:
-                copy = len(moves)
-                moves.append(dict(moves[q]))
+                copy = len(link)
+                moves[copy * width : (copy + 1) * width] = moves[q * width : (q + 1) * width]
                 length.append(length[p] + 1)
                 link.append(link[q])
-                while p >= 0 and moves[p].get(c) == q:
-                    moves[p][c] = copy
+                while p >= 0 and moves[p * width + c] == q:
+                    moves[p * width + c] = copy
                     p = link[p]
                 link[q] = link[here] = copy
         last = here
-    return moves
+    return np.frombuffer(moves, np.int32).reshape(-1, width)[: len(link)]
 
 
 class Parser:
@@ -111,23 +111,22 @@ class Parser:
             self.classes[b] = i
         self.classes[65:91] = self.classes[97:123]
         self.none = len(seen) + 1
-        self.tables = [self._table(suffix_automaton(text), seen) for text in folded]
+        index = np.zeros(256, np.int64)
+        index[seen] = np.arange(len(seen))
+        self.tables = [self._table(index[np.frombuffer(text, np.uint8)].tolist(), len(seen)) for text in folded]
         self.bits = np.array([np.log2(max(len(text), 2)) for text in folded])
 
-    def _table(self, moves, seen) -> np.ndarray:
-        index = {b: i for i, b in enumerate(seen)}
-        states, width = len(moves), self.width
+    def _table(self, symbols: list[int], seen: int) -> np.ndarray:
+        moves, width = suffix_automaton(symbols, seen), self.width
         root = np.zeros(width, np.int32)
-        for b, to in moves[0].items():
-            root[index[b]] = to
+        root[:seen] = np.maximum(moves[0], 0)
         # Where a phrase cannot go on, the byte begins the next one at the root.
-        out = np.tile(((root * width) << 1) | 1, (states, 1))
-        out[:, self.none] = (np.arange(states, dtype=np.int32) * width) << 1
-        for state in range(1, states):
-            if moves[state]:
-                at = [index[b] for b in moves[state]]
-                out[state, at] = (np.fromiter(moves[state].values(), np.int32) * width) << 1
-        return out.reshape(-1).astype(np.int32)
+        out = np.tile(((root * width) << 1) | 1, (len(moves), 1))
+        out[:, self.none] = (np.arange(len(moves), dtype=np.int32) * width) << 1
+        goes = moves >= 0
+        goes[0] = False
+        out[:, :seen][goes] = (moves[goes] * width) << 1
+        return out.reshape(-1)
 
     def phrases(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Phrases that each text needs in each language."""
@@ -160,9 +159,8 @@ class Parser:
         return out
 
 
-@lru_cache(maxsize=2)
 def parser(texts: tuple[tuple[str, bytes], ...]) -> Parser:
-    return Parser(texts)
+    return held(("parser", texts), lambda: Parser(texts))
 
 
 def identify(df: DataFrame, learned: dict[str, bytes], keep: list[str] | None = None) -> DataFrame:

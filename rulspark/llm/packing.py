@@ -16,6 +16,7 @@ empty table gives no pieces.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from functools import lru_cache
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from tokenizers import Tokenizer
 
-from rulspark.llm.arrow import binaries, filled, slices, strings
-from rulspark.llm.bpe import encoding
+from rulspark.llm.arrow import binaries, filled, held, slices, strings
+from rulspark.llm.bpe import load_ranks
 from rulspark.llm.shared import fixed, table
 from rulspark.session import scratch_path
 
@@ -64,15 +65,17 @@ class Coder:
     """
 
     def __init__(self, vocabulary: str, ranks: str, pattern: str):
-        self.library = Tokenizer.from_file(vocabulary)
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.enc = encoding(ranks, pattern)
+        self.vocabulary, self.library = vocabulary, None
+        with open(vocabulary, encoding="utf-8") as file:
+            self.special = [t["content"] for t in json.load(file)["added_tokens"]]
+        self.enc = load_ranks(ranks, pattern)
         self.segments = Segments(self.enc)
 
     def ids(self, text: str) -> bytes:
         """Unsigned 16-bit ids."""
         for mark in self.special:
             if mark in text:
+                self.library = self.library or Tokenizer.from_file(self.vocabulary)
                 return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint16).tobytes()
         if text.isascii():
             plain = not any(before in text for before in ASCII_SPACES)
@@ -86,9 +89,8 @@ class Coder:
         return head + b"".join([known[s] for s in rest])
 
 
-@lru_cache(maxsize=2)
 def coder(vocabulary: str, ranks: str, pattern: str) -> Coder:
-    return Coder(vocabulary, ranks, pattern)
+    return held(("coder", vocabulary, ranks, pattern), lambda: Coder(vocabulary, ranks, pattern))
 
 
 @lru_cache(maxsize=1)

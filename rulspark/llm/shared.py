@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 
 from rulspark.session import durable
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 PACKAGE = Path(__file__).resolve().parents[1]
 
 
 def ready(spark: SparkSession) -> None:
-    """Let local workers import this package wherever the driver was started.
+    """Small Arrow batches, since a row holds a whole text, unless the session says otherwise;
+    and local workers that can import this package wherever the driver was started.
 
-    A cluster gets it as any Python code, by ``--py-files`` or PYTHONPATH.
+    A cluster gets the package as any Python code, by ``--py-files`` or PYTHONPATH.
     """
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "2000")
     context = spark.sparkContext
     if context._jsc.sc().isLocal() and not any(f.rstrip("/").endswith(f"/{PACKAGE.name}") for f in context.listFiles):
         context.addFile(str(PACKAGE), recursive=True)
