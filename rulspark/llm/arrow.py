@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 
 # Bytes of text that a vectorised step handles at once. Steps hold some eight bytes per
 # byte of text, so this bounds a worker's memory whatever the size of an Arrow batch.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 _MODEL: dict = {}

@@ -9,7 +9,8 @@ Queries are first searched in their own shard; their k-th score there goes with
 other shards, which start from it.
 
 Components are floored multiples of ``scale``, so scores are integers and are computed
-exactly: in doubles while no sum can pass 2**53, otherwise in Python integers.
+exactly: in doubles while no sum can pass 2**53, otherwise in Python integers; a score beyond
+64 bits is an error.
 
 Cases: vectors that are null, empty, or hold a null or non-finite component take no part as
 candidate or query, nor do rows with a null id; vectors of different lengths are not
@@ -100,12 +101,15 @@ class BallTree:
 
     def _leaf(self, node: Node, at: np.ndarray, best: "Best") -> None:
         points, ids = self.points[node.rows], self.ids[node.rows]
+        same = self.own[at][:, None] == ids[None, :]
         if self.exact:
             scores = (self.queries[at] @ points.T).astype(np.int64)
         else:
-            whole = self.queries[at].astype(object) @ points.T.astype(object)
-            scores = np.array([[int(v) for v in row] for row in whole], dtype=np.int64)
-        scores[self.own[at][:, None] == ids[None, :]] = NONE
+            whole = np.vectorize(int, otypes=[object])
+            scores = whole(self.queries[at]) @ whole(points).T
+            scores[same] = NONE
+            scores = scores.astype(np.int64)
+        scores[same] = NONE
         best.add(at, scores, ids)
 
 

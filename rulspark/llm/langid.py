@@ -163,14 +163,20 @@ def parser(texts: tuple[tuple[str, bytes], ...]) -> Parser:
     return held(("parser", texts), lambda: Parser(texts))
 
 
-def identify(df: DataFrame, learned: dict[str, bytes], keep: list[str] | None = None) -> DataFrame:
-    """``lang_pred``, ``score`` and ``bits_per_byte`` beside the columns of ``df`` (or ``keep``).
+MADE = ("lang_pred", "score", "bits_per_byte")
+
+
+def identify(
+    df: DataFrame, learned: dict[str, bytes], keep: list[str] | None = None, made: tuple[str, str, str] = MADE
+) -> DataFrame:
+    """``lang_pred``, ``score`` and ``bits_per_byte`` (or the names ``made``) beside the columns
+    of ``df`` (or ``keep``); columns of these names are replaced.
 
     ``score`` is the share of the second best language's phrases in those of the best two:
     one half where they tie, towards 1 the clearer the choice; 0 for ``und``.
     """
     texts = tuple(sorted(learned.items()))
-    names = df.columns if keep is None else keep
+    names = [n for n in (df.columns if keep is None else keep) if n not in made]
     fields = ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
 
     def run(batches):
@@ -185,10 +191,10 @@ def identify(df: DataFrame, learned: dict[str, bytes], keep: list[str] | None =
                         *[batch.column(n).slice(start, stop - start) for n in names],
                         pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64()),
                     ],
-                    [*names, "lang_pred", "score", "bits_per_byte"],
+                    [*names, *made],
                 )
 
-    return df.mapInArrow(run, f"{fields}, lang_pred string, score double, bits_per_byte double")
+    return df.mapInArrow(run, f"{fields}, `{made[0]}` string, `{made[1]}` double, `{made[2]}` double".removeprefix(", "))
 
 
 def judge(model: Parser | None, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:

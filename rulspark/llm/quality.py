@@ -270,6 +270,22 @@ def fit(rows: DataFrame, width: int) -> Ridge:
     return Ridge(mean, deviation, model.weights, edges, levels)
 
 
+def judge(df: DataFrame, model: Ridge, keep: tuple[str, ...], name: str = "score") -> DataFrame:
+    """``name`` beside the columns ``keep``, from texts, in one step."""
+    fields = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
+
+    def run(batches):
+        for batch in batches:
+            column = filled(batch.column("text"))
+            for start, stop in slices(column):
+                got = model.score(statistics(column.slice(start, stop - start)))
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(k).slice(start, stop - start) for k in keep], pa.array(got, pa.float64())], [*keep, name]
+                )
+
+    return df.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, f"{fields}, `{name}` double")
+
+
 def score(rows: DataFrame, model: Ridge) -> DataFrame:
     """``score`` in place of ``stats``."""
     width = len(model.mean)

@@ -34,18 +34,17 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return values, values[fold]
 
 
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(BASE, -1, 1 << 64)
-    up, down = np.full(n, BASE, np.uint64), np.full(n, inverse, np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, (max(n, 1) - 1).bit_length())
-    up, down = _powers(size)
-    return up[:n], down[:n]
+    """Powers 0 to n - 1 of the base and of its inverse; the longest made so far is kept."""
+    if n > len(_POWERS[0]):
+        for i, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
+            steps = np.full(n + n // 8, base, np.uint64)
+            steps[0] = 1
+            _POWERS[i] = np.multiply.accumulate(steps)
+    return _POWERS[0][:n], _POWERS[1][:n]
 
 
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:

@@ -109,7 +109,7 @@ def test_isotonic_levels_rise():
 def test_normal_equations_are_the_sum_over_all_rows(spark):
     rng = np.random.default_rng(4)
     stats, labels = rng.normal(size=(90, 5)), (rng.random(90) < 0.5).astype(float)
-    rows = spark.createDataFrame([(i, s.tolist(), y) for i, (s, y) in enumerate(zip(stats, labels))], "doc_id long, stats array<double>, _label double")
+    rows = spark.createDataFrame([(i, s.tolist(), float(y)) for i, (s, y) in enumerate(zip(stats, labels))], "doc_id long, stats array<double>, _label double")
     model = quality.Ridge(np.zeros(5), np.ones(5), None, np.zeros(1), np.zeros(1))
     got = quality.normal_equations(rows.repartition(7), model)
     z = model.features(stats)
