@@ -4,8 +4,7 @@ A word is a bag of its byte n-grams, with its borders as spaces; n-grams are has
 buckets, each with a vector, so an unseen misspelling shares most vectors with the word it
 came from. A passage of ``PASSAGE`` words is the average of its vectors, and a linear
 softmax gives its class. A document is as toxic as its worst passage, so that a few words in
-a long text are not averaged away (with one average per document, a third of the toxic ones
-here were missed).
+a long text are not averaged away.
 Vectors and softmax are trained together, first on all passages of a labelled
 document, then on its worst one.
 
