@@ -68,8 +68,10 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def fingerprints(df: DataFrame, shingle: int = SHINGLE, seed: int = SEED, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``fp`` (the 64 bits as a long) beside the columns ``keep``."""
+def fingerprints(
+    df: DataFrame, shingle: int = SHINGLE, seed: int = SEED, keep: tuple[str, ...] = ("doc_id",), name: str = "fp"
+) -> DataFrame:
+    """``name`` (the 64 bits as a long) beside the columns ``keep``."""
     fields = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
 
     def run(batches):
@@ -79,10 +81,10 @@ def fingerprints(df: DataFrame, shingle: int = SHINGLE, seed: int = SEED, keep:
                 got = [signed(fingerprint(t, shingle, seed)) for t in strings(column.slice(start, stop - start))]
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(k).slice(start, stop - start) for k in keep], pa.array(got, pa.int64())],
-                    [*keep, "fp"],
+                    [*keep, name],
                 )
 
-    return df.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, f"{fields}, fp long")
+    return df.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, f"{fields}, `{name}` long")
 
 
 class BKTree:
@@ -283,7 +285,7 @@ def one_of_each(df: DataFrame) -> DataFrame:
     plain = df.join(stay, "doc_id", "left_semi").select(*df.columns)
     odd = df.where("doc_id IS NULL").unionByName(df.join(repeated, "doc_id", "left_semi").select(*df.columns))
     renamed = found.select(F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("component_id").alias("_component")).distinct()
-    marked = fingerprints(odd, keep=tuple(df.columns)).join(renamed, F.col("fp") == F.col("_fp"))
+    marked = fingerprints(odd, keep=tuple(df.columns), name="_print").join(renamed, F.col("_print") == F.col("_fp"))
     kept = marked.where(F.col("doc_id").eqNullSafe(F.col("_component"))).dropDuplicates(["_root"])
     return plain.unionByName(kept.select(*df.columns))
 
