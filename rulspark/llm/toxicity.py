@@ -10,7 +10,9 @@ document, then on its worst one.
 
 Since the softmax is linear, a bucket's vector enters a score through one number, its
 product with the difference of the two class weights; scoring sums that number over the
-whole text. Training reads a bounded sample of labelled rows, drawn by hashed id.
+whole text. Training reads a bounded sample of labelled rows, drawn by hashed id; calibration
+weights both classes back to all their labelled rows, so that a score means the same however
+many rows were drawn.
 
 Cases: a null or empty text has no n-gram and gets the score of the bias alone; without
 labels of both kinds every score is the share of ones (0 if there are none); rows with a
@@ -135,22 +137,39 @@ class Classifier:
         """Probability of the toxic class."""
         return 1 / (1 + np.exp(-np.clip(self.logits(texts), -60, 60)))
 
-    def calibrated(self, texts: pa.Array, labels: np.ndarray) -> "Classifier":
-        """Log odds moved along a line that fits texts which training has not seen."""
+    def calibrated(self, texts: pa.Array, labels: np.ndarray, stands: np.ndarray | None = None) -> "Classifier":
+        """Log odds moved along a line that fits texts which training has not seen.
+        ``stands``: for how many labelled rows each text stands, one unless given."""
         x = self.logits(texts)
+        each = np.ones(len(x)) if stands is None else stands / stands.mean()
         ones, zeros = labels.sum(), (1 - labels).sum()
         if not ones or not zeros:
             return self
         # Platt's targets keep the line finite where the classes do not overlap.
         y = np.where(labels > 0, (ones + 1) / (ones + 2), 1 / (zeros + 2))
-        design, line = np.column_stack([x, np.ones(len(x))]), np.array([1.0, 0.0])
+        # The best line is found in steps that never raise the loss, over logits of spread one.
+        middle, spread = x.mean(), max(float(x.std()), 1e-9)
+        design = np.column_stack([(x - middle) / spread, np.ones(len(x))])
+        share = np.average(y, weights=each)
+        line = np.array([0.0, np.log(share / (1 - share))])
+
+        def loss(at):
+            return (each * (np.logaddexp(0, design @ at) - y * (design @ at))).sum() + 5e-7 * at[0] ** 2
+
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(design @ line, -60, 60)))
-            curve = design.T @ (design * (p * (1 - p))[:, None]) + 1e-6 * np.eye(2)
-            line = line - np.linalg.solve(curve, design.T @ (p - y) + 1e-6 * (line - [1.0, 0.0]))
-        if not np.isfinite(line).all() or line[0] <= 0:
-            return self
-        return Classifier((self.weight * line[0]).astype(np.float32), float(self.bias * line[0] + line[1]))
+            curve = design.T @ (design * (each * p * (1 - p))[:, None]) + 1e-6 * np.eye(2)
+            step = np.linalg.solve(curve, design.T @ (each * (p - y)) + [1e-6 * line[0], 0.0])
+            while loss(line - step) > loss(line) and np.abs(step).max() > 1e-9:
+                step = step / 2
+            line = line - step
+        slope = line[0] / spread
+        if not np.isfinite(line).all() or slope <= 0:
+            # No order to learn from: only the classes' ratio is put right.
+            ratio = np.average(labels > 0, weights=each) / np.average(labels > 0)
+            rest = np.average(labels <= 0, weights=each) / np.average(labels <= 0)
+            return Classifier(self.weight, float(self.bias + np.log(ratio / rest)))
+        return Classifier((self.weight * slope).astype(np.float32), float(self.bias * slope + line[1] - middle * slope))
 
 
 def train(texts: list[str], labels: np.ndarray) -> Classifier:
@@ -229,13 +248,14 @@ def _average(vectors, buckets, bounds, passage):
     return out, idx, counts
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: dict[int, int] | None = None) -> list[tuple[str, int]]:
-    """A bounded number of (text, label) of each class, outside the held-out fold."""
+def sample(docs: DataFrame, labels: DataFrame, rows: dict[int, int] | None = None) -> tuple[list[tuple[str, int]], dict[int, float]]:
+    """A bounded number of (text, label) of each class, outside the held-out fold, and for how
+    many labelled rows each of a class stands."""
     want = rows or {1: TOXIC_ROWS, 0: CLEAN_ROWS}
     taught = one_label(labels, "toxic").where(fold(F.col("doc_id"), 3) != HELD_OUT)
     have = {int(r["_label"]): r["n"] for r in taught.groupBy("_label").agg(F.count("*").alias("n")).collect()}
     if len(have) < 2:
-        return [("", k) for k in have]
+        return [("", k) for k in have], {k: float(n) for k, n in have.items()}
     ticket = F.pmod(F.xxhash64("doc_id", F.lit("toxicity sample")), F.lit(1 << 30))
     # Half as many again as wanted, since long texts are left out.
     bar = F.lit(0)
@@ -245,27 +265,32 @@ def sample(docs: DataFrame, labels: DataFrame, rows: dict[int, int] | None = Non
     texts = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text")
     # At most about 1.5 times the wanted rows of ids and labels.
     found = texts.join(F.broadcast(drawn), "doc_id").select("_label", "ticket", "text").collect()
-    out = []
+    out, stands = [], {}
     for k in (1, 0):
         mine = sorted((r["ticket"], r["text"]) for r in found if int(r["_label"]) == k)
         out += [(text, k) for _, text in mine[: want[k]]]
-    return out
+        stands[k] = have[k] / max(len(mine[: want[k]]), 1)
+    return out, stands
 
 
-def learned(docs: DataFrame, labels: DataFrame) -> Classifier:
-    rows = sample(docs, labels)
-    kinds = {k for _, k in rows}
+def learned(docs: DataFrame, labels: DataFrame, rows: dict[int, int] | None = None) -> Classifier:
+    drawn, stands = sample(docs, labels, rows)
+    kinds = {k for _, k in drawn}
     if len(kinds) < 2:
         share = 1.0 if kinds == {1} else 0.0
         return Classifier(np.zeros(1 << BUCKET_BITS, np.float32), 60.0 if share else -60.0)
     # Every fifth row of a class calibrates.
-    held = [r for i, r in enumerate(rows) if i % CALIBRATE == 0]
-    taught = [r for i, r in enumerate(rows) if i % CALIBRATE]
+    place = {1: 0, 0: sum(k for _, k in drawn)}
+    held, taught = [], []
+    for i, (text, k) in enumerate(drawn):
+        (taught if (i - place[k]) % CALIBRATE else held).append((text, k))
     if len({k for _, k in taught}) < 2:
-        taught = rows
+        taught = drawn
     model = train([t for t, _ in taught], np.array([k for _, k in taught], np.float32))
-    texts = filled(pa.array([t for t, _ in held], pa.large_string()))
-    return model.calibrated(texts, np.array([k for _, k in held], np.float32))
+    texts, classes = filled(pa.array([t for t, _ in held], pa.large_string())), np.array([k for _, k in held], np.float32)
+    # A class stands for its rows here, not for its share of those held back.
+    count = {k: sum(c == k for _, c in drawn) / max(sum(c == k for _, c in held), 1) for k in kinds}
+    return model.calibrated(texts, classes, np.array([stands[k] * count[k] for _, k in held]))
 
 
 def score(df: DataFrame, model: Classifier, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

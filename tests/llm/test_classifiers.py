@@ -194,3 +194,26 @@ def test_classifiers_on_awkward_rows(spark, awkward, no_docs, no_labels):
 def test_folds(spark):
     rows = spark.range(50).select("id", fold(F.col("id"), 7).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 7 for r in rows)
+
+
+def mixed(spark, n, pad=0):
+    """Prose of which every fifth text has a word that makes it toxic in one case of four;
+    ``pad`` words of neutral prose follow it."""
+    rng = np.random.default_rng(1)
+    syllables = ["an", "the", "or", "in", "er", "st", "ou"]
+    prose = lambda k: " ".join("".join(rng.choice(syllables, 2)) for _ in range(k))
+    some = [i % 5 == 0 for i in range(n)]
+    bad = [int(s and rng.random() < 0.25) for s in some]
+    texts = [f"{prose(4)} {'horrible' if s else 'agreeable'} {prose(3)} {prose(pad)}" for s in some]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    return docs, spark.createDataFrame([(i, b) for i, b in enumerate(bad)], "doc_id long, toxic int"), some, bad
+
+
+def test_a_score_does_not_depend_on_how_many_rows_were_drawn(spark):
+    docs, labels, some, bad = mixed(spark, 3000)
+    share = sum(bad) / sum(some)
+    for rows in (None, {1: 1500, 0: 80}, {1: 60, 0: 120}):
+        model = toxicity.learned(docs, labels, rows)
+        score = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+        doubtful = np.mean([score[i] for i in range(3000) if some[i]])
+        assert abs(doubtful - share) < 0.15, (rows, doubtful, share)
