@@ -10,7 +10,8 @@ document, then on its worst one.
 
 Since the softmax is linear, a bucket's vector enters a score through one number, its
 product with the difference of the two class weights; scoring sums that number over the
-whole text. Training reads a bounded sample of labelled rows, drawn by hashed id; calibration
+whole text. Training reads a bounded sample of labelled rows of any length, drawn by hashed
+id until a class has its rows or its bytes; calibration
 weights both classes back to all their labelled rows, so that a score means the same however
 many rows were drawn.
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulspark.llm.arrow import filled, flat, slices
-from rulspark.llm.shared import fold, one_label, ready, table
+from rulspark.llm.shared import fixed, fold, one_label, ready, table
 from rulspark.llm.words import word_spans
 
 NGRAMS = (4, 5, 6)
@@ -39,13 +40,16 @@ BUCKET_BITS, DIMENSIONS = 17, 8
 PASSAGE = 8
 THRESHOLD = 0.7
 HELD_OUT = 1
-# Bound of the labelled sample: rows of each class, and code points of a text.
-TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 1_500, 3_500, 12_000
+# Bound of the labelled sample: rows of each class, and bytes of all their texts.
+TOXIC_ROWS, CLEAN_ROWS = 1_500, 3_500
+TOXIC_BYTES, CLEAN_BYTES = 6_000_000, 14_000_000
 EPOCHS, WARM_UP, BATCH, SEED = 6, 2, 50, 5
 CALIBRATE = 5
 # Step size of the vectors and, as a share of it, of the softmax; averages are multiplied by
 # GAIN, so that a few words of a passage can decide it.
 RATE, HEAD, GAIN = 80.0, 0.001, float(PASSAGE)
+# N-grams whose vectors a gradient step holds at a time.
+HELD_GRAMS = 1_000_000
 # Log odds before any word is seen, and how fast vectors shrink.
 PRIOR, DECAY = -3.0, 3e-5
 
@@ -206,7 +210,11 @@ def train(texts: list[str], labels: np.ndarray) -> Classifier:
             rows = [np.arange(got.passages[d], got.passages[d + 1]) for d in chosen]
             sizes = np.array([len(r) for r in rows])
             passage = np.concatenate(rows)
-            hidden, idx, counts = _average(vectors, buckets, bounds, passage)
+            sums = bounds[passage + 1] - bounds[passage]
+            # Long texts are averaged, and their vectors moved, in several parts.
+            parts = np.flatnonzero(np.diff(np.cumsum(sums) // HELD_GRAMS, prepend=0)) if sums.sum() > HELD_GRAMS else []
+            parts = np.split(np.arange(len(passage)), parts)
+            hidden = np.concatenate([_average(vectors, buckets, bounds, passage[part])[0] for part in parts])
             logits = hidden @ softmax + bias
             toxic = logits[:, 1] - logits[:, 0]
             firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -224,23 +232,30 @@ def train(texts: list[str], labels: np.ndarray) -> Classifier:
             slope = ((toxic_share - target) * weight / len(chosen)).astype(np.float32)
             towards = np.column_stack([-slope, slope])
             back = towards @ softmax.T * GAIN
-            live = np.repeat(weight > 0, counts)
-            each = np.repeat(back / np.maximum(counts, 1)[:, None], counts, axis=0)[live]
-            which = idx[live]
             vectors *= 1 - rate * DECAY
-            for d in range(DIMENSIONS):
-                vectors[:, d] -= rate * np.bincount(which, weights=each[:, d], minlength=size).astype(np.float32)
+            for part in parts:
+                part = part[weight[part] > 0]
+                counts, which = _places(buckets, bounds, passage[part])
+                each = np.repeat(back[part] / np.maximum(counts, 1)[:, None], counts, axis=0)
+                for d in range(DIMENSIONS):
+                    vectors[:, d] -= rate * np.bincount(which, weights=each[:, d], minlength=size).astype(np.float32)
             softmax -= rate * HEAD * (hidden.T @ towards)
             bias -= rate * HEAD * towards.sum(axis=0)
     weight = (vectors @ (softmax[:, 1] - softmax[:, 0]) * GAIN).astype(np.float32)
     return Classifier(weight, float(bias[1] - bias[0]))
 
 
+def _places(buckets, bounds, passage):
+    """How many buckets each passage has, and these."""
+    counts = bounds[passage + 1] - bounds[passage]
+    begins = np.cumsum(counts) - counts
+    return counts, buckets[np.arange(counts.sum()) + np.repeat(bounds[passage] - begins, counts)]
+
+
 def _average(vectors, buckets, bounds, passage):
     """Mean vector of each passage times ``GAIN``, its buckets, and how many each has."""
-    counts = bounds[passage + 1] - bounds[passage]
-    begins = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    idx = buckets[np.arange(counts.sum()) + np.repeat(bounds[passage] - begins, counts)]
+    counts, idx = _places(buckets, bounds, passage)
+    begins = np.cumsum(counts) - counts
     out = np.zeros((len(passage), vectors.shape[1]), np.float32)
     some = counts > 0
     if some.any():
@@ -248,33 +263,48 @@ def _average(vectors, buckets, bounds, passage):
     return out, idx, counts
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: dict[int, int] | None = None) -> tuple[list[tuple[str, int]], dict[int, float]]:
-    """A bounded number of (text, label) of each class, outside the held-out fold, and for how
-    many labelled rows each of a class stands."""
-    want = rows or {1: TOXIC_ROWS, 0: CLEAN_ROWS}
+def sample(
+    docs: DataFrame, labels: DataFrame, rows: dict[int, int] | None = None, size: dict[int, int] | None = None
+) -> tuple[list[tuple[str, int]], dict[int, float]]:
+    """(text, label) of a bounded number of rows and bytes of each class, outside the held-out
+    fold, and for how many labelled rows each of a class stands.
+
+    Rows are taken whole by hashed id, whatever their length; only a text that is longer than
+    the bytes of its class is cut there, and it comes alone.
+    """
+    want, most = rows or {1: TOXIC_ROWS, 0: CLEAN_ROWS}, size or {1: TOXIC_BYTES, 0: CLEAN_BYTES}
     taught = one_label(labels, "toxic").where(fold(F.col("doc_id"), 3) != HELD_OUT)
-    have = {int(r["_label"]): r["n"] for r in taught.groupBy("_label").agg(F.count("*").alias("n")).collect()}
+    ticket = F.pmod(F.xxhash64("doc_id", F.lit("toxicity sample")), F.lit(1 << 30))
+    texts = docs.where("text IS NOT NULL").select("doc_id", "text")
+    lengths = texts.select("doc_id", F.octet_length("text").alias("bytes"))
+    known = fixed(lengths.join(taught, "doc_id").select("doc_id", "_label", "bytes", ticket.alias("ticket")))
+    have = {int(r["_label"]): r["n"] for r in known.groupBy("_label").agg(F.count("*").alias("n")).collect()}
     if len(have) < 2:
         return [("", k) for k in have], {k: float(n) for k, n in have.items()}
-    ticket = F.pmod(F.xxhash64("doc_id", F.lit("toxicity sample")), F.lit(1 << 30))
-    # Half as many again as wanted, since long texts are left out.
     bar = F.lit(0)
     for k, n in have.items():
-        bar = F.when(F.col("_label") == k, F.lit(int(min(1.0, 1.5 * want[k] / n) * (1 << 30)))).otherwise(bar)
-    drawn = taught.withColumn("ticket", ticket).where(F.col("ticket") < bar)
-    texts = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text")
-    # At most about 1.5 times the wanted rows of ids and labels.
-    found = texts.join(F.broadcast(drawn), "doc_id").select("_label", "ticket", "text").collect()
-    out, stands = [], {}
+        # A quarter more than wanted, so that hardly ever fewer are found.
+        bar = F.when(F.col("_label") == k, F.lit(int(min(1.0, (1.25 * want[k] + 50) / n) * (1 << 30)))).otherwise(bar)
+    # At most about as many ids and sizes as the bar lets through.
+    drawn = known.where(F.col("ticket") < bar).select("_label", "ticket", "doc_id", "bytes").collect()
+    chosen, stands = [], {}
     for k in (1, 0):
-        mine = sorted((r["ticket"], r["text"]) for r in found if int(r["_label"]) == k)
-        out += [(text, k) for _, text in mine[: want[k]]]
-        stands[k] = have[k] / max(len(mine[: want[k]]), 1)
-    return out, stands
-
-
-def learned(docs: DataFrame, labels: DataFrame, rows: dict[int, int] | None = None) -> Classifier:
-    drawn, stands = sample(docs, labels, rows)
+        mine = sorted((r["ticket"], r["doc_id"], r["bytes"]) for r in drawn if int(r["_label"]) == k)[: want[k]]
+        within = int(np.searchsorted(np.cumsum([m[2] for m in mine]), most[k], side="right"))
+        mine = mine[: max(within, 1)]
+        chosen += [(t, d, k, most[k]) for t, d in dict.fromkeys(m[:2] for m in mine)]
+        stands[k] = have[k] / max(len(mine), 1)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    ids = docs.sparkSession.createDataFrame(chosen, f"ticket long, doc_id {kind}, k int, most int")
+    whole = F.when(F.octet_length("text") > F.col("most"), F.substring("text", F.lit(1), F.col("most"))).otherwise(F.col("text"))
+    found = texts.join(F.broadcast(ids), "doc_id").select("k", "ticket", whole.alias("text")).collect()
+    return [(text, k) for k, _, text in sorted(found, key=lambda r: (-r["k"], r["ticket"], r["text"]))], stands
+
+
+def learned(
+    docs: DataFrame, labels: DataFrame, rows: dict[int, int] | None = None, size: dict[int, int] | None = None
+) -> Classifier:
+    drawn, stands = sample(docs, labels, rows, size)
     kinds = {k for _, k in drawn}
     if len(kinds) < 2:
         share = 1.0 if kinds == {1} else 0.0

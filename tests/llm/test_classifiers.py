@@ -217,3 +217,34 @@ def test_a_score_does_not_depend_on_how_many_rows_were_drawn(spark):
         score = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
         doubtful = np.mean([score[i] for i in range(3000) if some[i]])
         assert abs(doubtful - share) < 0.15, (rows, doubtful, share)
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    docs, _, some, _ = mixed(spark, 200, pad=40)
+    docs = docs.selectExpr("doc_id", "repeat(text, 50) AS text")
+    labels = spark.createDataFrame([(i, int(s)) for i, s in enumerate(some)], "doc_id long, toxic int")
+    assert docs.selectExpr("min(length(text))").first()[0] > 12_000
+    score = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.learned(docs, labels)).collect()}
+    assert min(score[i] for i in range(200) if some[i]) > max(score[i] for i in range(200) if not some[i])
+
+
+def test_the_sample_is_bounded_by_bytes(spark):
+    docs, labels, some, bad = mixed(spark, 300, pad=100)
+    labels = spark.createDataFrame([(i, int(some[i])) for i in range(300)], "doc_id long, toxic int")
+    size = {1: 5_000, 0: 9_000}
+    drawn, stands = toxicity.sample(docs, labels, size=size)
+    for k in (0, 1):
+        texts = [t for t, c in drawn if c == k]
+        assert len(texts) > 1 and size[k] - 1_000 < sum(len(t.encode()) for t in texts) <= size[k]
+        learned_from = sum(int(s) == k and zlib.crc32(str(i).encode()) % 3 != 1 for i, s in enumerate(some))
+        assert stands[k] == pytest.approx(learned_from / len(texts))
+    drawn, _ = toxicity.sample(docs, labels, size={1: 100, 0: 100})
+    assert sorted((k, len(t)) for t, k in drawn) == [(0, 100), (1, 100)]
+
+
+def test_long_texts_are_averaged_in_parts(monkeypatch):
+    texts, classes = ["some horrible words in a row " * 30, "other words that are fine " * 40] * 8, np.array([1, 0] * 8, np.float32)
+    whole = toxicity.train(texts, classes)
+    monkeypatch.setattr(toxicity, "HELD_GRAMS", 500)
+    parts = toxicity.train(texts, classes)
+    np.testing.assert_allclose(parts.weight, whole.weight, atol=1e-3)
