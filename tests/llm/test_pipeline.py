@@ -1,9 +1,11 @@
 """The pipeline against its stages' brute-force parts, and on awkward tables."""
 
+import zlib
+
 import pytest
 
 import corpus_pipeline as c
-from rulspark.llm import langid, packing, simhash
+from rulspark.llm import langid, packing, quality, simhash
 from test_packing import check
 
 
@@ -66,3 +68,14 @@ def test_awkward_documents(spark, awkward, no_docs, sf_dir):
             docs = out if out.count() else docs
     for _, stage in c.STAGES:
         assert stage(spark, no_docs, sf_dir).count() == 0
+
+
+def test_bad_documents_go_and_good_ones_stay_among_held_out_ones(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    held = [d for d in labels if zlib.crc32(str(d).encode()) % 4 == quality.HELD_OUT]
+    stays = {r.doc_id for r in c.good(spark, docs, sf_dir).select("doc_id").collect()}
+    bad, good = [d for d in held if labels[d] == 0], [d for d in held if labels[d] == 1]
+    assert sum(d not in stays for d in bad) / len(bad) > 0.95
+    assert sum(d in stays for d in good) / len(good) > 0.99
