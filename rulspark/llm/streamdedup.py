@@ -7,16 +7,18 @@ original text stays, then the one with the smallest id, then the first by place.
 * **Bundles.** Inside a task, equal texts of an Arrow batch are compared by their whole bytes
   and become one row: digest, number of members, and the member that would stay. So a group
   that holds a third of all rows reaches its state as one narrow row per batch, not per copy.
-* **State.** Keyed by digest, kept by RocksDB and saved to the checkpoint in the shared
-  folder: group size, stable identifier of the row that stays, and the locator (file, row in
-  the file) of its content. No timeout; a later arrival meets all earlier ones.
-* **Hits.** A bundle whose digest is already there is a hit. Its bytes and those behind the
-  retained locator are fetched and compared whole; digests whose texts differ are written to
-  a list of collisions, and their rows are grouped by their bytes when the result is made.
-  So the result does not rest on the digest, however short it is.
-
-Progress (source files seen, state, verdicts per batch) lives in ``home``: a stream that was
-broken off goes on from there, and verdicts of a batch that runs twice are overwritten.
+* **State.** A streaming aggregation keyed by digest, kept by RocksDB and saved to the
+  checkpoint in the shared folder: group size, number of bundles, stable identifier of the
+  row that stays, and the locator (file, row in the file) of its content. Nothing expires; a
+  later arrival meets all earlier ones. Bundles are added up before they are shuffled.
+* **Hits.** A digest with more than one bundle has hits. The bytes of its new bundles and
+  those behind the retained locator are fetched and compared whole; digests whose texts
+  differ are written to a list of collisions, and their rows are grouped by their bytes when
+  the result is made. So the result does not rest on the digest, however short it is.
+
+Progress (source files seen, bundles, state, verdicts per batch, collisions per arrival)
+lives in ``home``: what was broken off goes on from there, and the verdicts of a batch that
+runs twice are overwritten.
 
 Cases: a null text counts as empty, and all texts without other characters are one group;
 null ids come last among ties and stay null; of repeated rows, ids included, one stays;
@@ -26,14 +28,12 @@ other columns are ignored; an empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rulspark.llm.arrow import filled, slices, strings
 from rulspark.llm.shared import ready
@@ -51,6 +51,8 @@ SETTINGS = {
     f"{STATE}.rocksdb.boundedMemoryUsage": "true",
     f"{STATE}.rocksdb.maxMemoryUsageMB": "256",
     f"{STATE}.rocksdb.writeBufferSizeMB": "4",
+    # Small stores would claim more disk than they use.
+    f"{STATE}.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -145,32 +147,9 @@ def bundles(rows: DataFrame, size: int = DIGEST_BYTES) -> DataFrame:
     )
 
 
-def _meet(key, frames: Iterator, state: GroupState) -> Iterator:
-    """A digest's bundles meet what is retained; every bundle but a first one is a hit."""
-    import pandas as pd
-
-    known = state.get if state.exists else None
-    out = []
-    for frame in frames:
-        for members, chars, no_id, doc, file, place in zip(*[frame[c].tolist() for c in BUNDLE]):
-            mine = (-chars, no_id, doc, file, place)
-            if known is None:
-                seen, known = (None, -1), (members, chars, no_id, doc, file, place)
-            else:
-                n, c, w, d, f, p = known
-                seen, theirs = (f, p), (-c, w, d, f, p)
-                c, w, d, f, p = (-mine[0], *mine[1:]) if mine < theirs else (-theirs[0], *theirs[1:])
-                known = (n + members, c, w, d, f, p)
-            out.append((file, place, *seen))
-    state.update(known)
-    made = pd.DataFrame(out, columns=["file", "place", "seen_file", "seen_place"])
-    made.insert(0, "digest", key * len(made))
-    for name, value in zip(("size", "n_chars", "no_id", "doc_id", "keep_file", "keep_place"), known):
-        made[name] = value
-    yield made
-
-
-BUNDLE = ("members", "n_chars", "no_id", "doc_id", "file", "place")
+def _order() -> Column:
+    """Least for the row that stays."""
+    return F.struct((-F.col("n_chars")).alias("chars"), "no_id", "doc_id", "file", "place")
 
 
 class StreamDedup:
@@ -199,57 +178,70 @@ class StreamDedup:
         # A stream reads a folder or a pattern; the pattern for one file matches that file.
         one_file = self._status(self.source).isFile()
         stream = located(stream.parquet(f"{self.source[:-1]}[{self.source[-1]}]" if one_file else self.source))
-        kept = f"n_chars long, no_id boolean, doc_id {self.id_type}"
-        verdicts = bundles(stream, self.digest_bytes).groupBy("digest").applyInPandasWithState(
-            _meet,
-            outputStructType=f"digest binary, file string, place long, seen_file string, seen_place long, "
-            f"size long, {kept}, keep_file string, keep_place long",
-            stateStructType=f"size long, {kept}, file string, place long",
-            outputMode="update",
-            timeoutConf=GroupStateTimeout.NoTimeout,
+        arrival = 1 if self._status(f"{self.home}/bundles") is None else self._last_arrival() + 1
+        found = bundles(stream, self.digest_bytes).withColumn("arrival", F.lit(arrival).cast("long"))
+        self._run(
+            found.writeStream.format("parquet").outputMode("append").option("path", f"{self.home}/bundles"), "intake"
+        )
+        if self._status(f"{self.home}/bundles") is None:
+            return  # there was no file
+        members = self.spark.readStream.schema(found.schema).parquet(f"{self.home}/bundles")
+        state = members.groupBy("digest").agg(
+            F.sum("members").alias("size"), F.count("*").alias("bundles"), F.min(_order()).alias("best")
         )
+        self._run(state.writeStream.outputMode("update").foreachBatch(self._store), "state")
+        self._check()
+
+    def _run(self, writer, name: str) -> None:
         with settings(self.spark, SETTINGS):
-            query = (
-                verdicts.writeStream.outputMode("update")
-                .foreachBatch(self._check)
-                .option("checkpointLocation", f"{self.home}/checkpoint")
-                .trigger(availableNow=True)
-                .start()
-            )
+            query = writer.option("checkpointLocation", f"{self.home}/{name}").trigger(availableNow=True).start()
         query.awaitTermination()
 
+    def _store(self, batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.home}/verdicts/batch={number}")
+
     def _status(self, path: str):
         """The file or folder at ``path``; None where there is none."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         files = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         return files.getFileStatus(hadoop) if files.exists(hadoop) else None
 
-    def _check(self, batch: DataFrame, number: int) -> None:
-        """Stores a batch's verdicts, and the digests whose hits are not equal byte for byte."""
-        path = f"{self.home}/verdicts/batch={number}"
-        batch.write.mode("overwrite").parquet(path)
-        stored = batch.sparkSession.read.parquet(path)
-        hits = stored.where("seen_file IS NOT NULL")
-        wanted = hits.select("digest", "file", "place").unionByName(
-            hits.select("digest", F.col("seen_file").alias("file"), F.col("seen_place").alias("place"))
-        ).distinct()
-        content = located(batch.sparkSession.read.schema(self.schema).parquet(self.source))
+    def _last_arrival(self) -> int:
+        return self.spark.read.parquet(f"{self.home}/bundles").agg(F.max("arrival")).first()[0] or 0
+
+    def _checked(self) -> int:
+        """The last arrival whose hits were compared."""
+        if self._status(f"{self.home}/collisions") is None:
+            return 0
+        return self._stored("collisions").agg(F.max("arrival")).first()[0] or 0
+
+    def _check(self) -> None:
+        """Stores the digests of which a new bundle is not equal, byte for byte, to what is retained."""
+        checked, last = self._checked(), self._last_arrival()
+        if last == checked:
+            return
+        new = self.spark.read.parquet(f"{self.home}/bundles").where(F.col("arrival") > checked)
+        hits = new.select("digest", "file", "place").join(self.groups().where("bundles > 1"), "digest")
+        both = F.array(F.struct("file", "place"), F.struct(F.col("keep_file").alias("file"), F.col("keep_place").alias("place")))
+        wanted = hits.select("digest", F.explode(both).alias("at")).select("digest", "at.*").distinct()
         # The least and the greatest of a digest's texts are the same only if all are; copies
         # are compared inside the tasks that read them first.
-        texts = content.join(wanted, ["file", "place"]).select("digest", normalised(F.col("text")).alias("bytes"))
+        texts = self.rows().join(wanted, ["file", "place"]).select("digest", normalised(F.col("text")).alias("bytes"))
         differ = texts.groupBy("digest").agg(F.min("bytes").alias("least"), F.max("bytes").alias("most"))
-        differ.where("least != most").select("digest").write.mode("overwrite").parquet(
-            f"{self.home}/collisions/batch={number}"
-        )
+        found = differ.where("least != most").select("digest", F.lit(last).cast("long").alias("arrival"))
+        # A row without a digest says that the arrival was compared.
+        mark = self.spark.createDataFrame([(None, last)], "digest binary, arrival long")
+        found.unionByName(mark).write.mode("overwrite").parquet(f"{self.home}/collisions/upto={last}")
 
     def groups(self) -> DataFrame:
-        """Per digest its last verdict: ``size``, ``keep_id``, ``keep_file``, ``keep_place``."""
+        """Per digest its last verdict: ``size``, ``bundles``, ``keep_id``, ``keep_file``, ``keep_place``."""
         last = self._stored("verdicts").groupBy("digest").agg(
-            F.max(F.struct("size", "no_id", "doc_id", "keep_file", "keep_place")).alias("last")
+            F.max_by(F.struct("size", "bundles", "best"), "size").alias("last")
         )
         return last.select(
-            "digest", F.col("last.size").alias("size"), "last.keep_file", "last.keep_place",
-            F.when(~F.col("last.no_id"), F.col("last.doc_id")).alias("keep_id"),
+            "digest", "last.size", "last.bundles",
+            F.col("last.best.file").alias("keep_file"), F.col("last.best.place").alias("keep_place"),
+            F.when(~F.col("last.best.no_id"), F.col("last.best.doc_id")).alias("keep_id"),
         )
 
     def _stored(self, name: str) -> DataFrame:
@@ -258,24 +250,21 @@ class StreamDedup:
     def result(self) -> DataFrame:
         """``doc_id``, ``keep_id``, ``group_size``, ``kept`` and ``text_sha256`` of every row."""
         members = digests(self.rows(), self.digest_bytes)
-        if self._status(f"{self.home}/verdicts") is None:
-            # No file held a row.
+        if self._status(f"{self.home}/collisions") is None:
+            # No file held a row; ``take_in`` compares the hits of every arrival that has rows.
             return members.select(
                 "doc_id", F.col("doc_id").alias("keep_id"), F.lit(0).cast("long").alias("group_size"),
                 F.lit(True).alias("kept"), "text_sha256",
             )
-        collisions = self._stored("collisions").distinct()
+        collisions = self._stored("collisions").where("digest IS NOT NULL").select("digest").distinct()
         if collisions.isEmpty():
             return _told(members.join(self.groups(), "digest"))
         # Texts that share a digest with another text are grouped by their bytes.
         plain = members.join(collisions, "digest", "left_anti").join(self.groups(), "digest")
         shared = members.join(collisions, "digest", "left_semi").join(self.rows().drop("doc_id"), ["file", "place"])
         shared = shared.withColumn("bytes", normalised(F.col("text")))
-        order = F.struct(
-            (-F.coalesce(F.length("text"), F.lit(0))).alias("chars"), F.col("doc_id").isNull().alias("no_id"),
-            "doc_id", "file", "place",
-        )
-        exact = shared.groupBy("bytes").agg(F.count("*").alias("size"), F.min(order).alias("best")).select(
+        measured = shared.withColumns({"n_chars": F.coalesce(F.length("text"), F.lit(0)), "no_id": F.col("doc_id").isNull()})
+        exact = measured.groupBy("bytes").agg(F.count("*").alias("size"), F.min(_order()).alias("best")).select(
             "bytes", "size", F.col("best.doc_id").alias("keep_id"),
             F.col("best.file").alias("keep_file"), F.col("best.place").alias("keep_place"),
         )
