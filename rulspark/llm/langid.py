@@ -18,22 +18,26 @@ rows with a null id take no part in learning; an empty table gives an empty tabl
 
 from __future__ import annotations
 
-import re
 from array import array
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import regex
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulspark.llm.arrow import filled, flat, held, slices
-from rulspark.llm.shared import fold, table
+from rulspark.llm.shared import fold, ready, table
 
 UNKNOWN = "und"
 # Bound of the labelled sample per language: passages, and bytes of each.
 PASSAGES, PASSAGE_BYTES = 48, 1_000
 BLOCK = 1_024
-LETTER = re.compile(r"[^\W\d_]")
+# A letter, for learning and for judging alike: Unicode's categories L, not its numbers.
+LETTER = regex.compile(r"\p{L}")
+# Texts from this many bytes on are foreign if they cost so many times what the dearest
+# held-out passage of a known language costs.
+FOREIGN_BYTES, FOREIGN_TIMES = 256, 1.5
 # Rows drawn by hash before the exact choice, over the number wanted.
 SPARE = 4
 
@@ -42,24 +46,33 @@ def samples(labelled: DataFrame, passages: int = PASSAGES, passage_bytes: int =
     """For each language a bounded sample of its labelled texts, drawn by hashed id.
 
     Reads one aggregate per language, then only rows whose hash falls under the share that
-    the language needs, so what reaches the driver does not grow with the corpus.
+    the language needs, so what reaches the driver does not grow with the corpus. Where a
+    language has fewer texts than passages are wanted, each gives several, from places that
+    do not overlap.
     """
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     letters = known.where(F.col("text").rlike(r"\p{L}"))
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in letters.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return {}
-    bar = F.lit(0)
+    bar, each = F.lit(0), F.lit(1)
     for lang, n in sizes.items():
-        share = min(1.0, SPARE * passages / n)
-        bar = F.when(F.col("lang") == lang, F.lit(int(share * (1 << 30)))).otherwise(bar)
+        own = F.col("lang") == lang
+        bar = F.when(own, F.lit(int(min(1.0, SPARE * passages / n) * (1 << 30)))).otherwise(bar)
+        each = F.when(own, F.lit(-(-passages // n))).otherwise(each)
     ticket = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("language sample")), F.lit(1 << 30))
-    drawn = letters.select("lang", ticket.alias("ticket"), F.col("text")).where(F.col("ticket") < bar)
-    # A passage from inside the text, at a place that its hash chooses.
-    at = (F.pmod(F.col("ticket"), F.greatest(F.length("text") - passage_bytes, F.lit(1))) + 1).cast("int")
-    rows = drawn.select("lang", "ticket", F.substring("text", at, F.lit(passage_bytes)).alias("piece")).collect()
+    drawn = letters.select("lang", ticket.alias("ticket"), "text", each.alias("each")).where(F.col("ticket") < bar)
+    # A text is cut into parts of at least a passage; each part gives the passage at a place
+    # that the hash chooses.
+    step = F.greatest(F.expr("length(text) div each"), F.lit(passage_bytes))
+    parts = drawn.withColumn("step", step).withColumn(
+        "part", F.explode(F.expr("sequence(0, least(each, greatest(length(text) div step, 1)) - 1)"))
+    )
+    inside = F.pmod(F.col("ticket"), F.greatest(F.least("step", F.length("text")) - passage_bytes, F.lit(1)))
+    at = (F.col("part") * F.col("step") + inside + 1).cast("int")
+    rows = parts.select("part", "lang", "ticket", F.substring("text", at, F.lit(passage_bytes)).alias("piece")).collect()
     out: dict[str, list[bytes]] = {}
-    for lang, _, piece in sorted(rows):
+    for _, lang, _, piece in sorted(rows):
         got = out.setdefault(lang, [])
         if len(got) < passages:
             got.append(piece.encode()[:passage_bytes])
@@ -175,6 +188,7 @@ def identify(
     ``score`` is the share of the second best language's phrases in those of the best two:
     one half where they tie, towards 1 the clearer the choice; 0 for ``und``.
     """
+    ready(df.sparkSession)
     texts = tuple(sorted(learned.items()))
     names = [n for n in (df.columns if keep is None else keep) if n not in made]
     fields = ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
@@ -215,6 +229,28 @@ def judge(model: Parser | None, texts: pa.Array) -> tuple[list[str], np.ndarray,
     return lang, np.where(lettered, np.clip(score, 0.0, 1.0), 0.0), lowest
 
 
+def dearest(learned: dict[str, bytes], held: dict[str, bytes], passage_bytes: int = PASSAGE_BYTES) -> float | None:
+    """Bits per byte beyond which no passage of ``held``, samples of other texts, goes; None
+    where there is nothing to compare."""
+    known = {lang: text for lang, text in held.items() if lang in learned}
+    if not known:
+        return None
+    model = Parser(tuple(sorted(learned.items())))
+    pieces = [t[i : i + passage_bytes] for t in known.values() for i in range(0, len(t), passage_bytes + 1)]
+    pieces = [p for p in pieces if len(p) >= FOREIGN_BYTES] or pieces
+    data, bounds = np.frombuffer(b"".join(pieces), np.uint8), np.cumsum([0, *map(len, pieces)])
+    cost = model.phrases(data, bounds) * model.bits / np.maximum(np.diff(bounds), 1)[:, None]
+    return float(cost.min(axis=1).max())
+
+
+def rejected(lang: Column, bits: Column, text: Column, most: float | None) -> Column:
+    """Whether a text has no letter, or is long enough to judge and far from every language."""
+    none = lang == UNKNOWN
+    if most is None:
+        return none
+    return none | ((F.octet_length(text) >= FOREIGN_BYTES) & (bits > FOREIGN_TIMES * most))
+
+
 HELD_OUT = 2
 
 

@@ -31,7 +31,7 @@ from tokenizers import Tokenizer
 
 from rulspark.llm.arrow import binaries, filled, held, slices, strings
 from rulspark.llm.bpe import load_ranks
-from rulspark.llm.shared import fixed, table
+from rulspark.llm.shared import fixed, ready, table
 from rulspark.session import scratch_path
 
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -229,6 +229,7 @@ def pack(
     (unsigned 32-bit little-endian), ``doc_tokens``, ``sequence_id`` and ``offset``.
     """
     spark = df.sparkSession
+    ready(spark)
     path = scratch_path(spark, "ids")
     tokenise(
         df,

@@ -49,3 +49,15 @@ def one_label(labels: DataFrame, name: str) -> DataFrame:
     """One row per document: 1 if at least half of its labels are 1. Nulls are no labels."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(name).isNotNull())
     return known.groupBy("doc_id").agg((F.avg(name) >= 0.5).cast("double").alias("_label"))
+
+
+def free_names(df: DataFrame, *wanted: str) -> tuple[str, ...]:
+    """The wanted names, with underscores added until no column of ``df`` has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return tuple(out)

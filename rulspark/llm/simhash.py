@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulspark.llm.arrow import filled, slices, strings
-from rulspark.llm.shared import fixed, table
+from rulspark.llm.shared import fixed, free_names, ready, table
 
 SHINGLE, DISTANCE, SEED = 3, 2, 42
 # Fingerprints of one bucket that go to a tree as they are.
@@ -263,6 +263,7 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id``, ``fp``, the smallest linked ``root`` fingerprint and ``component_id`` for
     every row of ``df``."""
+    ready(df.sparkSession)
     marked = fixed(fingerprints(df, shingle, seed))
     distinct = fixed(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(distinct, distance, bucket)).withColumnRenamed("node", "fp")
@@ -284,9 +285,13 @@ def one_of_each(df: DataFrame) -> DataFrame:
     stay = found.where("doc_id = component_id").select("doc_id").join(repeated, "doc_id", "left_anti")
     plain = df.join(stay, "doc_id", "left_semi").select(*df.columns)
     odd = df.where("doc_id IS NULL").unionByName(df.join(repeated, "doc_id", "left_semi").select(*df.columns))
-    renamed = found.select(F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("component_id").alias("_component")).distinct()
-    marked = fingerprints(odd, keep=tuple(df.columns), name="_print").join(renamed, F.col("_print") == F.col("_fp"))
-    kept = marked.where(F.col("doc_id").eqNullSafe(F.col("_component"))).dropDuplicates(["_root"])
+    # Names that no column of the documents has.
+    mark, fp, root, component = free_names(df, "_print", "_fp", "_root", "_component")
+    renamed = found.select(
+        F.col("fp").alias(fp), F.col("root").alias(root), F.col("component_id").alias(component)
+    ).distinct()
+    marked = fingerprints(odd, keep=tuple(df.columns), name=mark).join(renamed, F.col(mark) == F.col(fp))
+    kept = marked.where(F.col("doc_id").eqNullSafe(F.col(component))).dropDuplicates([root])
     return plain.unionByName(kept.select(*df.columns))
 
 

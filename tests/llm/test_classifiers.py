@@ -81,6 +81,46 @@ def test_language_of_awkward_rows(awkward, no_docs):
     assert "xx" in langid.samples(awkward)
 
 
+def test_numbers_are_no_letters(spark):
+    rows = [(i, t) for i, t in enumerate(["²", "½ 3", "Ⅷ", "1 2", "ª", "é", "日"])]
+    found = langid.identify(spark.createDataFrame(rows, "doc_id long, text string"), {"en": b"some text"}).collect()
+    assert [r.lang_pred for r in sorted(found)] == ["und"] * 4 + ["en"] * 3
+
+
+def test_a_language_with_few_lettered_rows_is_learned(spark):
+    """20,000 rows of numbers and 6 of text under one label, beside 300 rows of another."""
+    rows = spark.range(20_306).selectExpr(
+        "id AS doc_id",
+        "IF(id < 20000, cast(id AS string), IF(id < 20006, concat('ordi ven tasko mil ', id), concat('the next word ', id))) AS text",
+        "IF(id < 20006, 'xx', 'en') AS lang",
+    )
+    learned = langid.samples(rows)
+    assert set(learned) == {"en", "xx"} and learned["xx"].count(b"ordi") == 6
+    test = spark.createDataFrame([(1, "ven tasko"), (2, "next word")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in langid.identify(test, learned).collect()} == {1: "xx", 2: "en"}
+
+
+def test_few_long_documents_give_several_passages(spark):
+    long = " ".join(f"word{i}" for i in range(9000))
+    rows = spark.createDataFrame([(1, long, "en"), (2, long.upper(), "en"), (3, "short", "en")], "doc_id long, text string, lang string")
+    pieces = langid.samples(rows)["en"].split(b"\n")
+    assert len(pieces) > 30 and len(set(pieces)) == len(pieces) and max(map(len, pieces)) <= langid.PASSAGE_BYTES
+    assert all(p.decode() in long or p.decode() in long.upper() or p == b"short" for p in pieces)
+
+
+def test_texts_far_from_every_language_are_rejected(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    learned = langid.samples(langid.learning_rows(docs))
+    most = langid.dearest(learned, langid.samples(docs.where(fold(F.col("doc_id"), 4) == langid.HELD_OUT)))
+    rng = np.random.default_rng(1)
+    noise = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz   "), 900))
+    odd = spark.createDataFrame([(-1, noise), (-2, noise[:99]), (-3, "12")], "doc_id long, text string")
+    judged = langid.identify(docs.select("doc_id", "text").unionByName(odd), learned)
+    gone = judged.where(langid.rejected(F.col("lang_pred"), F.col("bits_per_byte"), F.col("text"), most))
+    assert {r.doc_id for r in gone.collect() if langid.LETTER.search(r.text or "")} == {-1}
+    assert langid.dearest(learned, {}) is None
+
+
 def test_statistics_of_one_text_do_not_depend_on_its_neighbours():
     texts = ["One two two three!!\nFOUR five", "", "x", "äö 12 | {a}", "a b a b a b", " \n "]
     together = quality.statistics(arrow(texts))

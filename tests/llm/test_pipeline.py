@@ -3,6 +3,7 @@
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as c
 from rulspark.llm import langid, packing, quality, simhash
@@ -79,3 +80,24 @@ def test_bad_documents_go_and_good_ones_stay_among_held_out_ones(spark):
     bad, good = [d for d in held if labels[d] == 0], [d for d in held if labels[d] == 1]
     assert sum(d not in stays for d in bad) / len(bad) > 0.95
     assert sum(d in stays for d in good) / len(good) > 0.99
+
+
+def test_without_labels_no_lettered_text_is_dropped(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    left = {r.doc_id for r in c.language(spark, docs, sf_dir).collect()}
+    assert left == {r.doc_id for r in docs.collect() if langid.LETTER.search(r.text or "")} and left
+
+
+CLASHING = ("_lang", "_score", "_bits", "_print", "_fp", "_root", "_component", "_LABEL", "stats", "place", "ids", "key")
+
+
+def test_columns_of_any_name_pass_through_unchanged(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    marked = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in CLASHING})
+    for name, stage in c.STAGES[:-1]:
+        plain, out = stage(spark, docs, sf_dir), stage(spark, marked, sf_dir)
+        assert out.columns == marked.columns
+        rows = out.collect()
+        assert {r.doc_id for r in rows} == {r.doc_id for r in plain.select("doc_id").collect()}, name
+        assert all(r[n] == f"{n}{r.doc_id}" for r in rows for n in CLASHING)
+    assert c.STAGES[-1][1](spark, marked, sf_dir).count() == c.STAGES[-1][1](spark, docs, sf_dir).count()
