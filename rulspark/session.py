@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +53,17 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext._jsc.sc().isLocal()
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Local workers that can import this package wherever the driver was started.
+
+    A cluster gets the package as any Python code, by ``--py-files`` or PYTHONPATH.
+    """
+    package = Path(__file__).resolve().parent
+    context = spark.sparkContext
+    if is_local(spark) and not any(f.rstrip("/").endswith(f"/{package.name}") for f in context.listFiles):
+        context.addFile(str(package), recursive=True)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``, as the cluster names it.
 

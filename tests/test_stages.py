@@ -48,7 +48,7 @@ def test_all_stages_for_two_days(spark, base, monkeypatch):
     assert features.count() == n and len(features.columns) == 96 + 6
 
     assert pending(lake, "tabular") == DATES
-    run(spark, base, "train-tabular", DATES[1], maxDepth=3, maxIter=5)
+    run(spark, base, "train-tabular", DATES[1], depth=3, rounds=5)
     run(spark, base, "score-tabular", DATES[0])
     assert pending(lake, "tabular") == DATES[1:]
     run(spark, base, "train-sequence", DATES[0], regParam=0.1)

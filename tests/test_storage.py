@@ -146,13 +146,13 @@ def test_trees_per_dataset_and_importance(spark):
         "concat('u', id % 5) AS unit", "int(id) AS time", "int(id % 2 + 1) AS dataset", "double(id % 50) AS a",
         "double(id * 7 % 11) AS b", "double(id % 50) * (id % 2 + 1) AS RUL_Clipped",
     )
-    small = {"maxDepth": 4, "maxIter": 5, "stepSize": 0.5}
+    small = {"depth": 4, "rounds": 8, "step": 0.5}
     out = L.train_per_dataset(df, df, ["a", "b"], **small)
     assert out.count() == 600 and out.agg(F.avg(F.abs("Prediction_Error"))).first()[0] < 5
     with pytest.raises(ValueError, match="no model"):
         L.train_per_dataset(df.where("dataset = 1"), df, ["a", "b"], **small)
     model = L.train_gbt(df, ["a", "b"], **small)
-    top = L.top_features(L.feature_importance(model, ["a", "b"], spark), 1).first()
+    top = L.top_features(L.feature_importance(model, spark), 1).first()
     assert top.feature == "a"
     assert L.feature_catalog(df).orderBy("position").toPandas().feature.tolist() == ["a", "b"]
 
