@@ -51,7 +51,7 @@ CHUNK = 1 << CHUNK_BITS
 DENSE = 4096
 DENSE_BYTES = CHUNK // 8
 # Segments that a worker keeps, and bytes of their links and groups.
-SEGMENTS, SEGMENT_BYTES = 200_000, 48 << 20
+SEGMENTS, SEGMENT_BYTES = 400_000, 48 << 20
 # Postings that a task gathers before it writes their bitmaps.
 POSTINGS = 2_000_000
 BORDER = re.compile(r"(?<=\S)(?= )")
@@ -69,6 +69,7 @@ class Segments:
         if max(n, self.enc.n_vocab) > WIDTH:
             raise ValueError(f"vocabularies of more than {WIDTH} ids")
         self.bytes_of = [self._bytes(i) for i in range(n)]
+        self.lengths = [len(x) for x in self.bytes_of]
         names = [self.model.id_to_piece(i) for i in range(n)]
         self.apart = not any(PLACEHOLDER in name.lstrip(PLACEHOLDER) for name in names)
         self.lone_space = self.model.piece_to_id(PLACEHOLDER)
@@ -103,37 +104,51 @@ class Segments:
         text = " " + text
         return BORDER.split(text) if self.apart else [text]
 
-    def number(self, segment: str) -> int:
-        found = self.numbers.get(segment)
-        if found is None:
-            found = self.numbers[segment] = len(self.groups)
-            self._align(segment)
-        return found
-
-    def _align(self, segment: str) -> None:
-        a = self.enc.encode_ordinary(segment)
-        # The model puts a space before what it gets.
-        b = self.model.encode(segment[1:]) if segment != " " else [self.lone_space]
-        agree = b"".join([self.bytes_of[i] for i in b]) == segment.encode()
-        if not agree:
+    def numbered(self, parts: list[list[str]]) -> list[list[int]]:
+        """Numbers of segments; those not met before are tokenised together."""
+        known = self.numbers
+        new = dict.fromkeys(s for part in parts for s in part if s not in known)
+        if new:
+            # The model puts a space before what it gets.
+            pieces = self.model.encode([s[1:] for s in new], num_threads=1)
+            for segment, b in zip(new, pieces):
+                known[segment] = len(self.groups)
+                self._align(segment, self.enc.encode_ordinary(segment), b if segment != " " else [self.lone_space])
+        return [[known[s] for s in part] for part in parts]
+
+    def _align(self, segment: str, a: list[int], b: list[int]) -> None:
+        before = len(self.pairs)
+        if b"".join([self.bytes_of[y] for y in b]) != segment.encode():
             self.counts.extend((0, 0, 0, 0, 0))
             self.groups.append(b"")
-            self.ends.append(len(self.pairs))
+            self.ends.append(before)
             return
-        sizes_a = np.cumsum([self.sizes[i] for i in a])
-        sizes_b = np.cumsum([len(self.bytes_of[i]) for i in b])
-        shared = np.intersect1d(sizes_a, sizes_b, assume_unique=True)
-        cuts_a = [0, *(np.searchsorted(sizes_a, shared) + 1).tolist()]
-        cuts_b = [0, *(np.searchsorted(sizes_b, shared) + 1).tolist()]
-        lines, before = [], len(self.pairs)
-        for i in range(len(shared)):
-            left, right = a[cuts_a[i] : cuts_a[i + 1]], b[cuts_b[i] : cuts_b[i + 1]]
-            lines.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-            self.pairs.extend([x * WIDTH + y for x in left for y in right])
-        self.counts.extend((len(a), len(b), len(lines), len(self.pairs) - before, 1))
+        sizes_a, sizes_b, pairs = self.sizes, self.lengths, self.pairs
+        lines, left, right = [], [], []
+        i = j = at_a = at_b = 0
+        # Whichever side is behind takes its next token; where both end, a group ends.
+        while i < len(a) or j < len(b):
+            if at_a <= at_b:
+                left.append(a[i])
+                at_a += sizes_a[a[i]]
+                i += 1
+            else:
+                right.append(b[j])
+                at_b += sizes_b[b[j]]
+                j += 1
+            if at_a == at_b:
+                if len(left) == 1 and len(right) == 1:
+                    lines.append(f"{left[0]}|{right[0]}")
+                    pairs.append(left[0] * WIDTH + right[0])
+                else:
+                    lines.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
+                    pairs.extend([x * WIDTH + y for x in left for y in right])
+                left, right = [], []
+        links = len(pairs) - before
+        self.counts.extend((len(a), len(b), len(lines), links, 1))
         self.groups.append(";".join(lines).encode())
-        self.ends.append(len(self.pairs))
-        self.held_bytes += len(self.groups[-1]) + 8 * (len(self.pairs) - before) + len(segment)
+        self.ends.append(len(pairs))
+        self.held_bytes += len(self.groups[-1]) + 8 * links + len(segment)
 
 
 def containers(offsets: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -257,7 +272,7 @@ def aligned(df: DataFrame, ranks: str, pieces: str, pattern: str) -> DataFrame:
 def one_slice(known: Segments, texts: list[str], rows: np.ndarray) -> tuple[dict[str, pa.Array], tuple]:
     """Counts and digest of each text; (pair, row, links) of all."""
     known.make_room()
-    parts = [[known.number(s) for s in known.cut(t)] if t else [] for t in texts]
+    parts = known.numbered([known.cut(t) if t else [] for t in texts])
     bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
     flat = np.fromiter((n for p in parts for n in p), np.int64, int(bounds[-1]))
     counts = np.array(known.counts, np.int64).reshape(-1, 5)[flat]
