@@ -150,6 +150,18 @@ def unscored_units(series: DataFrame, predictions: DataFrame, unit: str = "unit"
     return lengths.join(predictions.select(unit).distinct(), unit, "left_anti")
 
 
+def unscored_with_reason(
+    series: DataFrame, predictions: DataFrame, failed: DataFrame, n: int = SEQUENCE_LENGTH, unit: str = "unit"
+) -> DataFrame:
+    """``unscored_units`` with a ``reason``: the ``error`` of the engine in ``failed``, that it
+    is too short, or that every window misses a value."""
+    short = F.when(F.col("n_rows") <= n, F.lit(f"not longer than {n} rows"))
+    reason = F.coalesce(F.col("error"), short, F.lit("every window misses a value"))
+    theirs = failed.select(col(unit).alias("_failed"), "error")
+    missing = unscored_units(series, predictions, unit)
+    return missing.join(theirs, col(unit).eqNullSafe(F.col("_failed")), "left").select(unit, "n_rows", reason.alias("reason"))
+
+
 def require_predictions(predictions: DataFrame) -> None:
     if predictions.isEmpty():
         raise NoPredictions("no engine was long enough to be scored")

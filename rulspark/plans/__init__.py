@@ -1,6 +1,6 @@
 """Named queries over the supplied tables."""
 
-from rulspark.plans import evaluation, exploration, layers, learning, windows  # noqa: F401
+from rulspark.plans import evaluation, exploration, forecasts, layers, learning, windows  # noqa: F401
 from rulspark.plans.registry import ORACLES, QUERIES
 
 

@@ -9,7 +9,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulspark.errors import NothingFound
@@ -21,7 +21,9 @@ from rulspark.operators import projection as P
 from rulspark.operators import scaling as C
 from rulspark.operators import sequence as S
 from rulspark.operators import splits as SP
+from rulspark.operators import views as V
 from rulspark.operators.boosting import Boosted
+from rulspark.operators.reservoir import Reservoir, fit_reservoir
 from rulspark.operators.rolling import multiscale_features
 from rulspark.operators.silver import silver_frame
 from rulspark.operators.stats import unit_counts
@@ -119,8 +121,7 @@ def train_tabular(lake: Lake, date: str, **params) -> str:
     rows = table.where(F.col("snapshot_date") <= last)
     features = L.feature_columns(rows, ["unit", "time", CLIPPED_LABEL, "dataset", "seq", "snapshot_date"])
     only_last = rows.where(F.col("snapshot_date") < last).isEmpty()
-    drawn = F.pmod(F.crc32(F.col("unit").cast("binary")), F.lit(100)) < 15
-    rows = rows.withColumn("_is_val", drawn if only_last else F.col("snapshot_date") == last)
+    rows = rows.withColumn("_is_val", _validation_drawn() if only_last else F.col("snapshot_date") == last)
     model = L.train_gbt(rows, features, validation_col="_is_val", **params)
     path = lake.path("models/tabular")
     model.save(lake.spark, path)
@@ -162,37 +163,72 @@ def _series(lake: Lake, date: str) -> tuple[DataFrame, list[str]]:
     return covariates.join(labels, ["unit", "seq"]), features
 
 
-def _scaled_windows(lake: Lake, date: str, include_target_lags: bool) -> DataFrame:
+def _scaled_series(lake: Lake, date: str) -> tuple[DataFrame, list[str]]:
     series, features = _series(lake, date)
     scaler = R.read_partitioned(lake.spark, lake.path("models/sequence_scaler"))
-    scaled = C.scale(series, scaler, [*features, CLIPPED_LABEL])
+    return C.scale(series, scaler, [*features, CLIPPED_LABEL]), features
+
+
+def _scaled_windows(lake: Lake, date: str, include_target_lags: bool) -> DataFrame:
+    scaled, features = _scaled_series(lake, date)
     return S.window_vectors(scaled, features, CLIPPED_LABEL, SEQUENCE_LENGTH, include_target_lags)
 
 
-def train_sequence(lake: Lake, date: str, include_target_lags: bool = True, **params) -> str:
-    """A linear one-step forecaster on scaled look-back windows of all covariates, and of the
-    past label if ``include_target_lags``."""
+def _validation_drawn() -> Column:
+    """About 15 % of the engines, drawn by their hash."""
+    return F.pmod(F.crc32(F.col("unit").cast("binary")), F.lit(100)) < 15
+
+
+def train_sequence(
+    lake: Lake, date: str, include_target_lags: bool = True, forecaster: str = "linear", **params
+) -> str:
+    """A one-step forecaster on scaled look-back windows of all covariates, and of the past
+    label if ``include_target_lags``: ``linear``, or the recurrent ``reservoir``, whose
+    penalty is chosen on about 15 % of the engines."""
     series, features = _series(lake, date)
     C.fit_robust(series, [*features, CLIPPED_LABEL]).write.mode("overwrite").parquet(
         lake.path("models/sequence_scaler")
     )
+    path = _sequence_model(lake, forecaster)
+    if forecaster == "reservoir":
+        scaled, features = _scaled_series(lake, date)
+        rows = scaled.withColumn("_is_val", _validation_drawn())
+        fit_reservoir(
+            rows, features, CLIPPED_LABEL, "_is_val", n=SEQUENCE_LENGTH, include_target_lags=include_target_lags, **params
+        ).save(lake.spark, path)
+        return path
     windows = _scaled_windows(lake, date, include_target_lags)
     model = L.train_vectors(windows, "window", CLIPPED_LABEL, **params)
-    model.write().overwrite().save(lake.path("models/sequence"))
-    return lake.path("models/sequence")
+    model.write().overwrite().save(path)
+    return path
+
 
+def _sequence_model(lake: Lake, forecaster: str) -> str:
+    names = {"linear": "models/sequence", "reservoir": "models/sequence_reservoir"}
+    if forecaster not in names:
+        raise ValueError(f"forecaster {forecaster!r}; one of {sorted(names)}")
+    return lake.path(names[forecaster])
 
-def forecast_sequence(lake: Lake, date: str, include_target_lags: bool = True) -> str:
-    """One step ahead at every position from 30 on, in cycles; engines that are too short
-    are listed in ``inference/sequence_unscored``."""
-    model = PipelineModel.load(lake.path("models/sequence"))
+
+def forecast_sequence(lake: Lake, date: str, include_target_lags: bool = True, forecaster: str = "linear") -> str:
+    """One step ahead at every position from 30 on, in cycles. Engines that are too short, or
+    that the reservoir failed on, are listed with the reason in ``inference/sequence_unscored``;
+    the others are scored. No engine scored is an error."""
+    path = _sequence_model(lake, forecaster)
     scaler = R.read_partitioned(lake.spark, lake.path("models/sequence_scaler"))
     center, spread = scaler.where(F.col("feature") == CLIPPED_LABEL).select("center", "scale").first()
-    windows = _scaled_windows(lake, date, include_target_lags)
-    out = durable(S.rolling_forecast(windows, model.transform, CLIPPED_LABEL, center, spread))
+    if forecaster == "reservoir":
+        model = Reservoir.load(lake.spark, path)
+        scored = durable(model.forecast(_scaled_series(lake, date)[0], [CLIPPED_LABEL]))
+        good, failed = V.quarantined(scored)
+        out = durable(S.rolling_forecast(good, lambda rows: rows, CLIPPED_LABEL, center, spread))
+    else:
+        windows = _scaled_windows(lake, date, include_target_lags)
+        out = durable(S.rolling_forecast(windows, PipelineModel.load(path).transform, CLIPPED_LABEL, center, spread))
+        failed = lake.spark.createDataFrame([], "unit string, error string")
     S.require_predictions(out)
-    short = S.unscored_units(lake.snapshot("gold/series_labels", date), out)
-    lake.replace(lake.dated(short, date), "inference/sequence_unscored")
+    rest = S.unscored_with_reason(lake.snapshot("gold/series_labels", date), out, failed)
+    lake.replace(lake.dated(rest, date), "inference/sequence_unscored")
     return lake.replace(lake.dated(out, date), "inference/sequence")
 
 

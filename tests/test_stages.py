@@ -9,7 +9,7 @@ from rulspark.__main__ import main
 from rulspark.errors import MissingSections, NothingFound
 from rulspark.plans.frames import raw_arrays, readings
 from rulspark.plans.stages import Lake, pending, run
-from rulspark.schema import TABULAR_BASELINE
+from rulspark.schema import CLIPPED_LABEL, TABULAR_BASELINE
 from rulspark.sources.readers import read_partitioned
 
 DATES = ["2025-01-02", "2025-01-03"]
@@ -103,7 +103,63 @@ def test_a_broken_baseline_stops_monitoring(spark, base, tmp_path):
         read_baseline(spark, str(broken), TABULAR_BASELINE_SCHEMA)
 
 
+def test_recurrent_forecaster_from_the_command_line(spark, base):
+    at = ["--base", base, "--snapshotdate", DATES[0]]
+    lake = Lake(spark, base)
+    for lags in ([], ["--no-target-lags"]):
+        main(["train-sequence", *at, "--forecaster", "reservoir", "--param", "hidden=16", *lags])
+        main(["forecast-sequence", *at, "--forecaster", "reservoir", *lags])
+        out = read_partitioned(spark, lake.path("inference/sequence"))
+        labels = read_partitioned(spark, lake.path("gold/series_labels")).where(F.col("snapshot_date") == DATES[0])
+        assert out.count() == labels.where("seq >= 30").count() > 0
+        assert out.where("RUL_Predicted IS NULL OR isnan(RUL_Predicted)").count() == 0
+        # Actual labels come back unscaled.
+        both = out.select("unit", F.col("time").alias("seq"), "RUL_Actual").join(labels, ["unit", "seq"])
+        assert both.where(F.abs(F.col("RUL_Actual") - F.col(CLIPPED_LABEL)) > 1e-3).count() == 0
+    rest = read_partitioned(spark, lake.path("inference/sequence_unscored"))
+    assert {r.reason for r in rest.select("reason").distinct().collect()} == {"not longer than 30 rows"}
+
+
+def test_an_engine_the_forecaster_fails_on_is_listed(spark, base):
+    """One infinite reading: that engine is unscored with a reason; all engines: an error."""
+    from rulspark.errors import NoPredictions
+
+    lake = Lake(spark, base)
+    run(spark, base, "train-sequence", DATES[0], forecaster="reservoir", hidden=8)
+    path = lake.path("gold/series_features")
+    series = spark.createDataFrame(lake.snapshot("gold/series_features", DATES[0]).collect())
+    name = next(c for c in series.columns if c not in ("unit", "seq", "snapshot_date"))
+    unit = series.where("seq > 35").agg(F.min("unit")).first()[0]
+
+    def broken(where):
+        value = F.when(where & (F.col("seq") == 3), F.lit(float("inf"))).otherwise(F.col(name))
+        rows = series.withColumn(name, value.cast(series.schema[name].dataType))
+        rows.write.mode("overwrite").partitionBy("snapshot_date").parquet(path)
+        spark.catalog.clearCache()
+
+    try:
+        broken(F.col("unit") == unit)
+        run(spark, base, "forecast-sequence", DATES[0], forecaster="reservoir")
+        rest = read_partitioned(spark, lake.path("inference/sequence_unscored"))
+        failed = rest.where(~F.col("reason").startswith("not longer")).collect()
+        assert [(r.unit, r.reason) for r in failed] == [(unit, "ValueError: a value is not finite")]
+        scored = read_partitioned(spark, lake.path("inference/sequence")).select("unit").distinct()
+        assert unit not in {r.unit for r in scored.collect()} and scored.count() > 0
+        broken(F.lit(True))
+        with pytest.raises(NoPredictions):
+            run(spark, base, "forecast-sequence", DATES[0], forecaster="reservoir")
+    finally:
+        broken(F.lit(False))
+
+
 def test_command_line(spark, base, capsys):
+    with pytest.raises(SystemExit):
+        main(["silver", "--base", base, "--snapshotdate", DATES[1], "--param", "depth=3"])
+    with pytest.raises(SystemExit):
+        main(["train-tabular", "--base", base, "--snapshotdate", DATES[1], "--param", "depth"])
+    main(["split", "--base", base, "--snapshotdate", DATES[0], "--train-sets", "1,2,3", "--oot-sets", "7"])
+    dealt = read_partitioned(spark, Lake(spark, base).path("gold/splits")).where("split = 'oot'")
+    assert {r.dataset for r in dealt.select("dataset").distinct().collect()} == {7}
     main(["silver", "--base", base, "--snapshotdate", DATES[1]])
     assert capsys.readouterr().out.strip().endswith("/silver")
     main(["pending-tabular", "--base", base])
