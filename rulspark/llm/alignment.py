@@ -33,11 +33,12 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulspark.llm.arrow import by_text, filled, held, slices, strings
+from rulspark.llm.arrow import by_text, filled, held, release, slices, strings
 from rulspark.llm.bpe import load_ranks
 from rulspark.llm.shared import table
 from rulspark.session import scratch_path
@@ -53,7 +54,9 @@ DENSE_BYTES = CHUNK // 8
 # Segments that a worker keeps, and bytes of their links and groups.
 SEGMENTS, SEGMENT_BYTES = 400_000, 48 << 20
 # Postings that a task gathers before it writes their bitmaps.
-POSTINGS = 2_000_000
+POSTINGS = 1_000_000
+# Bits that are opened at once.
+OPEN_BITS = 1 << 20
 BORDER = re.compile(r"(?<=\S)(?= )")
 PLACEHOLDER = "▁"
 
@@ -193,6 +196,12 @@ def opened(bitmaps: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(which), np.concatenate(offsets)
 
 
+def bits_at_most(bitmaps: pa.Array) -> np.ndarray:
+    """An upper bound of the set bits of each bitmap, which is not opened."""
+    sizes = pc.binary_length(bitmaps).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.where(sizes == DENSE_BYTES, CHUNK, sizes // 2)
+
+
 POSTING = "pair long, chunk long, plane int, bits binary, docs long"
 
 
@@ -275,7 +284,8 @@ def one_slice(known: Segments, texts: list[str], rows: np.ndarray) -> tuple[dict
     parts = known.numbered([known.cut(t) if t else [] for t in texts])
     bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
     flat = np.fromiter((n for p in parts for n in p), np.int64, int(bounds[-1]))
-    counts = np.array(known.counts, np.int64).reshape(-1, 5)[flat]
+    # Views: an array that a view is of cannot grow, so none outlives this call.
+    counts = np.asarray(known.counts).reshape(-1, 5)[flat]
     good = by_text(1 - counts[:, 4], bounds) == 0
     sums = [np.where(good, by_text(counts[:, i], bounds), 0) for i in range(4)]
     digests = [
@@ -286,10 +296,10 @@ def one_slice(known: Segments, texts: list[str], rows: np.ndarray) -> tuple[dict
     text = np.repeat(np.arange(len(texts)), np.diff(bounds))
     keep = good[text]
     flat, text = flat[keep], text[keep]
-    ends = np.array(known.ends, np.int64)
+    ends = np.asarray(known.ends)
     length = ends[flat + 1] - ends[flat]
     step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-    pair = np.array(known.pairs, np.int64)[np.repeat(ends[flat], length) + step]
+    pair = np.asarray(known.pairs)[np.repeat(ends[flat], length) + step]
     # Texts of a slice are fewer than 2**20, pairs below 2**40.
     both, links = np.unique(pair << 20 | np.repeat(text, length), return_counts=True)
     columns = {name: pa.array(v, pa.int64()) for name, v in zip(DOCUMENT, sums)}
@@ -300,25 +310,42 @@ def one_slice(known: Segments, texts: list[str], rows: np.ndarray) -> tuple[dict
 def merged(postings: DataFrame) -> DataFrame:
     """OR of the bitmaps of each pair, chunk and plane, with its popcount ``docs``."""
     by = ["pair", "chunk", "plane"]
-    ordered = postings.select(*by, "bits").repartition("pair", "chunk").sortWithinPartitions(*by)
+    columns = [*by, "bits", "docs"]
+    ordered = postings.select(*columns).repartition("pair", "chunk").sortWithinPartitions(*by)
 
     def run(batches):
+        release()
         rest: pa.RecordBatch | None = None
 
-        def merge(batch: pa.RecordBatch) -> pa.RecordBatch:
+        def joined(part: pa.RecordBatch, first: np.ndarray) -> pa.RecordBatch:
+            which, offset = opened(part.column("bits"))
+            group = np.searchsorted(first, which, side="right") - 1
+            both = np.unique(group << CHUNK_BITS | offset)
+            group, offset = both >> CHUNK_BITS, both & (CHUNK - 1)
+            bounds = np.searchsorted(group, np.arange(len(first) + 1))
+            kept = [part.column(c).take(pa.array(first)) for c in by]
+            return pa.RecordBatch.from_arrays([*kept, containers(offset, bounds), pa.array(np.diff(bounds), pa.int64())], columns)
+
+        def merge(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             keys = [batch.column(c).to_numpy() for c in by]
             new = np.ones(batch.num_rows, np.bool_)
             new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
             first = np.flatnonzero(new)
-            which, offset = opened(batch.column("bits"))
-            group = (np.cumsum(new) - 1)[which]
-            both = np.unique(group << CHUNK_BITS | offset)
-            group, offset = both >> CHUNK_BITS, both & (CHUNK - 1)
-            bounds = np.searchsorted(group, np.arange(len(first) + 1))
-            kept = [pa.array(k[first], batch.schema.field(c).type) for c, k in zip(by, keys)]
-            return pa.RecordBatch.from_arrays(
-                [*kept, containers(offset, bounds), pa.array(np.diff(bounds), pa.int64())], [*by, "bits", "docs"]
-            )
+            sizes = np.diff(np.append(first, batch.num_rows))
+            # A bitmap without another one of its key stays closed.
+            alone = sizes == 1
+            if alone.any():
+                yield batch.take(pa.array(first[alone]))
+            if alone.all():
+                return
+            several = batch.take(pa.array(np.flatnonzero(np.repeat(~alone, sizes))))
+            sizes = sizes[~alone]
+            first = np.cumsum(sizes) - sizes
+            piece = np.cumsum(np.add.reduceat(bits_at_most(several.column("bits")), first)) // OPEN_BITS
+            edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(sizes)]
+            for low, high in zip(edges, edges[1:]):
+                at, end = int(first[low]), int(first[high - 1] + sizes[high - 1])
+                yield joined(several.slice(at, end - at), first[low:high] - at)
 
         for batch in batches:
             if rest is not None:
@@ -330,12 +357,12 @@ def merged(postings: DataFrame) -> DataFrame:
             last = np.logical_and.reduce([k == k[-1] for k in keys])
             cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
             if cut:
-                yield merge(batch.slice(0, cut))
+                yield from merge(batch.slice(0, cut))
             rest = batch.slice(cut)
             if cut == 0 and rest.num_rows > 1:
-                rest = merge(rest).select([*by, "bits"])
+                rest = joined(rest, np.zeros(1, np.int64))
         if rest is not None and rest.num_rows:
-            yield merge(rest)
+            yield from merge(rest)
 
     return ordered.mapInArrow(run, POSTING)
 
@@ -361,6 +388,7 @@ def scores(index: DataFrame, counts: DataFrame) -> DataFrame:
     ordered = priced.select("chunk", "plane", "bits", "count", "best").repartition("chunk").sortWithinPartitions("chunk")
 
     def run(batches):
+        release()
         chunk, best, total, seen = None, None, None, None
 
         def closed():
@@ -382,13 +410,16 @@ def scores(index: DataFrame, counts: DataFrame) -> DataFrame:
                     chunk = int(chunks[low])
                     best, total = np.zeros(CHUNK, np.int64), np.zeros(CHUNK, np.int64)
                     seen = np.zeros(CHUNK, np.bool_)
-                part = batch.slice(low, high - low)
-                plane = part.column("plane").to_numpy().astype(np.int64)
-                weight = np.left_shift(1, np.maximum(plane - 1, 0))
-                which, offset = opened(part.column("bits"))
-                np.add.at(total, offset, (weight * part.column("count").to_numpy())[which])
-                np.add.at(best, offset, (weight * part.column("best").to_numpy(zero_copy_only=False))[which])
-                seen[offset] = True
+                piece = np.cumsum(bits_at_most(batch.column("bits").slice(low, high - low))) // OPEN_BITS
+                cuts = [low, *(np.flatnonzero(np.diff(piece)) + 1 + low).tolist(), high]
+                for start, stop in zip(cuts, cuts[1:]):
+                    part = batch.slice(start, stop - start)
+                    plane = part.column("plane").to_numpy().astype(np.int64)
+                    weight = np.left_shift(1, np.maximum(plane - 1, 0))
+                    which, offset = opened(part.column("bits"))
+                    np.add.at(total, offset, (weight * part.column("count").to_numpy())[which])
+                    np.add.at(best, offset, (weight * part.column("best").to_numpy(zero_copy_only=False))[which])
+                    seen[offset] = True
         if chunk is not None:
             yield closed()
 

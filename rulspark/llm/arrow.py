@@ -25,6 +25,11 @@ def held(key: tuple, make):
     return _MODEL["value"]
 
 
+def release() -> None:
+    """Free the model of an earlier stage in a worker that needs none now."""
+    _MODEL.clear()
+
+
 def filled(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """The texts with null as the empty text, with 64-bit offsets."""
     if isinstance(column, pa.ChunkedArray):
