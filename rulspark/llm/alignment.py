@@ -348,6 +348,8 @@ def merged(postings: DataFrame) -> DataFrame:
                 yield joined(several.slice(at, end - at), first[low:high] - at)
 
         for batch in batches:
+            # Without Spark's notes on nulls, so that all batches have one schema.
+            batch = pa.RecordBatch.from_arrays(batch.columns, columns)
             if rest is not None:
                 batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
             if not batch.num_rows:

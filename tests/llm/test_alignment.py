@@ -154,3 +154,28 @@ def test_awkward_rows(spark, awkward, no_docs):
     by_id = {r.doc_id: r for r in rows}
     assert by_id[1].n_a == by_id[2].count_sum == 0 and by_id[1].groups_sha256 == "" and by_id[3].n_a > 0
     assert a.PairIndex(no_docs).scored().count() == 0
+
+
+@pytest.mark.parametrize("rows", [2, 1000])
+def test_bitmaps_of_one_key_and_of_several_tasks_merge(spark, rows):
+    """Single keys, a key over several batches, a dense one, pieces of few bits."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    rng = np.random.default_rng(3)
+    want, parts = {}, []
+    for pair, chunk, copies, size in [(1, 0, 1, 9), (2, 0, 7, 50), (2, 1, 1, 5000), (3, 0, 3, 6000), (4, 5, 2, 1), (9, 9, 1, 1)]:
+        for _ in range(copies):
+            offsets = np.unique(rng.integers(0, a.CHUNK, size))
+            want.setdefault((pair, chunk), set()).update(offsets.tolist())
+            bits = a.containers(offsets, np.array([0, len(offsets)]))[0].as_py()
+            parts.append((pair, chunk, 0, bits, len(offsets)))
+    spark.conf.set(key, str(rows))
+    try:
+        postings = spark.createDataFrame(parts, a.POSTING).repartition(3).where("pair IS NOT NULL")
+        got = a.merged(postings).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert len(got) == len(want)
+    for r in got:
+        _, offsets = a.opened(pa.array([bytes(r.bits)], pa.binary()))
+        assert set(offsets.tolist()) == want[r.pair, r.chunk] and r.docs == len(offsets)
