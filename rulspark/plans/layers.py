@@ -233,6 +233,47 @@ def tolerant_union(spark, sf_dir):
     return out.select("event_id", "unit", "dataset", r6("s1").alias("s1"), r6("s2").alias("s2"))
 
 
+def _conflicting_folder(spark, sf_dir):
+    """One folder of three writes: datasets as text with some bad values, as numbers without
+    a second sensor, and as wide numbers with it."""
+    df, path = samples(spark, sf_dir), scratch_path(spark, "conflicting")
+    text = F.when(F.col("event_id") % 100 == 0, "x1").otherwise(F.col("s1").cast("string"))
+    kinds = [
+        df.where("dataset <= 2").select("event_id", "unit", F.col("dataset").cast("string").alias("dataset"), text.alias("s1")),
+        df.where("dataset IN (3, 4)").select("event_id", "unit", F.col("dataset").cast("int").alias("dataset"), "s1"),
+        df.where("dataset > 4").select("event_id", "unit", F.col("dataset").cast("long").alias("dataset"), "s1", "s2"),
+    ]
+    for kind in kinds:
+        kind.write.mode("append").parquet(path)
+    schema = T.StructType.fromDDL("event_id long, unit string, dataset int, s1 double, s2 double")
+    return R.read_tolerant(spark, path, schema)
+
+
+@query(
+    sql_on(
+        READINGS_SQL,
+        f"""SELECT event_id, unit, dataset,
+  CASE WHEN dataset > 2 OR event_id % 100 <> 0 THEN {q6('s1')} END AS s1, CASE WHEN dataset > 4 THEN {q6('s2')} END AS s2 FROM readings""",
+    )
+)
+def tolerant_folder(spark, sf_dir):
+    """One folder whose files conflict in their types, in one schema."""
+    out, _ = _conflicting_folder(spark, sf_dir)
+    return out.select("event_id", "unit", "dataset", r6("s1").alias("s1"), r6("s2").alias("s2"))
+
+
+@query(
+    sql_on(
+        READINGS_SQL,
+        """SELECT unnest(['event_id', 'unit', 'dataset', 's1', 's2']) AS feature,
+  unnest([0, 0, 0, count(*) FILTER (WHERE dataset <= 2 AND event_id % 100 = 0), 0]) AS n_rejected FROM readings""",
+    )
+)
+def rejected_values(spark, sf_dir):
+    """Values of that folder that do not fit their column."""
+    return _conflicting_folder(spark, sf_dir)[1]
+
+
 @query(
     sql_on(
         PREDICTIONS_SQL,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +66,66 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+# The id that a Spark write puts into all its file names.
+_WRITE = re.compile(r"-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})")
+
+
+def schema_groups(spark: SparkSession, path: str) -> list[DataFrame]:
+    """One directory whose files may conflict in their types, as one table per schema.
+
+    Footers are read by Spark jobs, many files at a time: all together first; where they
+    conflict, the files of each write; where these do, halves of them. Files of one schema
+    end up in one scan. Columns that only some files of a table have are NULL in the others.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        raise NothingFound(f"no data at {path}")
+    files, found = [], system.listFiles(root, True)
+    while found.hasNext():
+        file = found.next()
+        if not file.getPath().getName().startswith(("_", ".")) and file.getLen():
+            files.append(file.getPath().toString())
+    if not files:
+        raise NothingFound(f"no data at {path}")
+    groups: dict[str, list[str]] = {}
+    pending = [sorted(files)]
+    while pending:
+        group = pending.pop()
+        try:
+            schema = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*group).schema
+        except (Py4JJavaError, PySparkException) as error:
+            # The driver finds the conflict, or a task of it.
+            if len(group) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
+                raise
+            pending += _parts(group)
+            continue
+        groups.setdefault(schema.json(), []).extend(group)
+    return [
+        spark.read.schema(T.StructType.fromJson(json.loads(schema))).option("basePath", path).parquet(*group)
+        for schema, group in sorted(groups.items())
+    ]
+
+
+def _parts(group: Sequence[str]) -> list[list[str]]:
+    """Files by write, or two halves of the files of one."""
+    writes: dict[str, list[str]] = {}
+    for file in group:
+        name = _WRITE.search(file.rsplit("/", 1)[-1])
+        writes.setdefault(name[1] if name else "", []).append(file)
+    if len(writes) > 1:
+        return list(writes.values())
+    return [list(group[: len(group) // 2]), list(group[len(group) // 2 :])]
+
+
+def read_tolerant(
+    spark: SparkSession, path: str, schema: T.StructType, strict: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of a directory of conflicting files in one schema, values rejected per column)."""
+    frames = schema_groups(spark, path)
+    return tolerant_union(frames, schema, strict), rejected_values(frames, schema)
+
+
 def tolerant_union(frames: Sequence[DataFrame], schema: T.StructType, strict: bool = True) -> DataFrame:
     """Stack tables whose columns differ in type or presence, cast to one schema.
 

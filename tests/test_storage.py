@@ -85,6 +85,30 @@ def test_tolerant_union_casts_what_fits(spark):
         R.tolerant_union([a, b], schema).collect()
 
 
+def test_a_folder_of_conflicting_files(spark, tmp_path):
+    """Types that conflict inside one write's files too, a missing column, a nested folder."""
+    from pyspark.sql import types as T
+
+    path = str(tmp_path / "mixed")
+    for i in range(3):
+        spark.range(i * 10, i * 10 + 10).selectExpr("id", "string(id) AS v").repartition(2).write.mode("append").parquet(path)
+    spark.range(30, 40).selectExpr("int(id) AS id", "double(id) AS v", "'e' AS extra").write.mode("append").parquet(path)
+    spark.range(40, 50).selectExpr("id", "IF(id = 44, 'bad', string(id)) AS v").write.parquet(path + "/deep")
+    for i, file in enumerate(sorted((tmp_path / "mixed").glob("*.parquet"))):
+        file.rename(file.with_name(f"{i}.parquet"))
+    groups = R.schema_groups(spark, path)
+    assert len(groups) == 2
+    schema = T.StructType.fromDDL("id long, v double, extra string, absent date")
+    out, rejected = R.read_tolerant(spark, path, schema)
+    got = sorted((r.id, r.v, r.extra, r.absent) for r in out.collect())
+    assert got == [(i, None if i == 44 else float(i), "e" if 30 <= i < 40 else None, None) for i in range(50)]
+    assert {r.feature: r.n_rejected for r in rejected.collect()} == {"id": 0, "v": 1, "extra": 0}
+    with pytest.raises(Exception, match="does not fit"):
+        R.read_tolerant(spark, path, schema, strict=True)[0].collect()
+    with pytest.raises(NothingFound):
+        R.schema_groups(spark, str(tmp_path / "none"))
+
+
 def test_read_merged(spark, tmp_path):
     path = str(tmp_path / "m")
     spark.range(2).write.parquet(path)
