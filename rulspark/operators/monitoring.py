@@ -107,7 +107,9 @@ def drift_tier(metrics: DataFrame, baseline=TABULAR_BASELINE) -> DataFrame:
 
 
 def stamped(df: DataFrame, name: str = "generated_at_utc") -> DataFrame:
-    return df.withColumn(name, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    """The time of the run in UTC, whatever the session's time zone."""
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return df.withColumn(name, F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
 
 
 def history_append(history: DataFrame, record: DataFrame) -> DataFrame:

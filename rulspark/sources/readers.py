@@ -6,6 +6,7 @@ import json
 import re
 from collections.abc import Sequence
 from datetime import date
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -50,7 +51,8 @@ def existing_partitions(spark: SparkSession, path: str, column: str = "snapshot_
         raise NothingFound(f"no data at {path}")
     names = [s.getPath().getName() for s in files.listStatus(root) if s.isDirectory()]
     values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
-    return sorted(_typed(v) for v in values if v != "__HIVE_DEFAULT_PARTITION__")
+    # Folder names are escaped: a colon is %3A.
+    return sorted(_typed(unquote(v)) for v in values if v != "__HIVE_DEFAULT_PARTITION__")
 
 
 def _typed(value: str):

@@ -1,6 +1,7 @@
 """Metrics, joins, drift ladder, history and contracts on hand-made rows."""
 
 import json
+from datetime import datetime, timezone
 
 import numpy as np
 import pytest
@@ -170,6 +171,13 @@ def test_history_modes(spark):
     assert [tuple(r) for r in once.collect()] == [("2025-01-01", 9.0), ("2025-01-02", 2.0)]
     assert [tuple(r) for r in D.history_upsert(once, new).collect()] == [tuple(r) for r in once.collect()]
     assert "generated_at_utc" in D.stamped(new).columns
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        stamp = datetime.fromisoformat(D.stamped(new).first()["generated_at_utc"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert abs((datetime.now(timezone.utc).replace(tzinfo=None) - stamp).total_seconds()) < 600
 
 
 def test_report_tables(scored):

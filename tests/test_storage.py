@@ -85,6 +85,13 @@ def test_tolerant_union_casts_what_fits(spark):
         R.tolerant_union([a, b], schema).collect()
 
 
+def test_partition_names_are_decoded(spark, tmp_path):
+    path = str(tmp_path / "escaped")
+    names = ["a:b", "c/d", "e%f", "g h"]
+    spark.createDataFrame([(n, 1) for n in names], "k string, v int").write.partitionBy("k").parquet(path)
+    assert R.existing_partitions(spark, path, "k") == names
+
+
 def test_a_folder_of_conflicting_files(spark, tmp_path):
     """Types that conflict inside one write's files too, a missing column, a nested folder."""
     from pyspark.sql import types as T
