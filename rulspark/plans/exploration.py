@@ -236,7 +236,7 @@ def dirty_quantiles(spark, sf_dir):
     """Quantiles over missing and infinite readings, by brackets that are narrowed."""
     df = samples(spark, sf_dir)
     odd = df.select(*[_dirty(F.col("event_id"), F.col(s)).alias(s) for s in SENSORS])
-    out = exact_quantiles(odd, SENSORS, (0.1, 0.5, 0.9), max_rows=500, bins=64)
+    out = exact_quantiles(odd, SENSORS, (0.1, 0.5, 0.9), max_rows=500, k=64)
     return out.select("feature", "prob", r6("value").alias("value"))
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rulspark.operators import quality as Q
+from rulspark.operators import quantiles
 from rulspark.operators import scaling as C
 from rulspark.operators import shift as H
 from rulspark.operators import stats as S
@@ -66,6 +67,55 @@ def test_quantiles_and_histogram_of_infinite_values(spark):
     assert [r.n for r in rows] == [30] * 10 and rows[0].bin_low == 0.0 and rows[-1].bin_high == 299.0
 
 
+def test_quantiles_of_any_values_take_few_passes(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    n = 60_000
+    inf = float("inf")
+    odd = rng.choice([-1.0, 1.0], n) * 10.0 ** rng.uniform(-300, 300, n)
+    odd[: n // 10], odd[n // 10 : n // 8] = inf, -inf
+    near = 1.0 + rng.integers(0, n, n) * 2.0**-52  # neighbouring doubles
+    near[::3] = 1e300
+    cols = {"odd": rng.permutation(odd), "near": rng.permutation(near)}
+    df = spark.createDataFrame(
+        [tuple(map(float, r)) for r in zip(*cols.values())], "odd double, near double"
+    ).repartition(3)
+    passes, look = [], quantiles._look
+
+    def counted(df, columns, brackets, k):
+        passes.append(brackets)
+        return look(df, columns, brackets, k)
+
+    monkeypatch.setattr(quantiles, "_look", counted)
+    probs = (0.001, 0.25, 0.5, 0.75, 0.999)
+    got = {(r.feature, r.prob): r.value for r in exact_quantiles(df, list(cols), probs, 2_000).collect()}
+    assert len(passes) <= 3  # and the one that selects
+    for c, v in cols.items():
+        known = np.sort(v)
+        for p in probs:
+            at = p * (n - 1)
+            low, high = known[int(np.floor(at))], known[int(np.ceil(at))]
+            want = low if low == high else low + (at - np.floor(at)) * (high - low)
+            assert got[c, p] == pytest.approx(want, rel=1e-15), (c, p)
+    # What the last pass orders is a small part of the rows.
+    assert all(n_inside(cols, b) <= 2_000 for b in passes[-1])
+
+
+def n_inside(cols, bracket):
+    v = list(cols.values())[bracket.feature]
+    return int(((v > bracket.lo) & (v < bracket.hi)).sum())
+
+
+def test_a_sketch_that_errs_costs_a_pass_not_the_result(spark, monkeypatch):
+    """A margin of nothing loses ranks; the counts show it and the bracket grows back."""
+    monkeypatch.setattr(quantiles, "rank_error", lambda k: -0.01)
+    v = np.random.default_rng(6).normal(size=20_000)
+    df = spark.createDataFrame([(float(x),) for x in v], "a double").repartition(4)
+    probs = (0.0, 0.1, 0.5, 0.77, 1.0)
+    got = {r.prob: r.value for r in exact_quantiles(df, ["a"], probs, 50, 64).collect()}
+    for p in probs:
+        assert got[p] == pytest.approx(np.quantile(v, p), rel=1e-12)
+
+
 def test_quantiles_skip_missing_and_empty_columns(spark):
     df = spark.createDataFrame([(1.0, None), (NAN, None), (3.0, None), (None, None)], "a double, b double")
     got = {r.feature: r.value for r in exact_quantiles(df, ["a", "b"], [0.5]).collect()}
