@@ -164,6 +164,33 @@ def test_stream_is_idempotent_and_a_resent_day_replaces_the_day(spark, tmp_path)
     assert run() == {("2025-01-01", 3.0): 2, ("2025-01-02", 2.0): 4}
 
 
+def test_an_arrival_counts_once_it_is_complete(spark, tmp_path):
+    landing, silver, state = (str(tmp_path / d) for d in ("landing", "silver", "state"))
+
+    def rows(day, n, value):
+        dev, _ = arrays(spark, day, n, value)
+        return B.ingest_bronze(dev, dev.limit(0), day).select(*BRONZE_SCHEMA.names)
+
+    def run():
+        incremental_snapshots(spark, landing, silver, state).awaitTermination()
+        df = R.read_partitioned(spark, silver)
+        return {(str(r.snapshot_date), r.Altitude): r["count"] for r in df.groupBy("snapshot_date", "Altitude").count().collect()}
+
+    land(rows("2025-01-01", 5, 1.0), landing, 1)
+    assert run() == {("2025-01-01", 1.0): 5}
+    # Half of a later arrival of the same day lies there; another day makes a batch.
+    half = rows("2025-01-01", 2, 9.0).withColumn("arrival", F.lit(3).cast("long"))
+    half.write.mode("append").partitionBy("snapshot_date", "arrival").parquet(landing)
+    land(rows("2025-01-02", 3, 2.0), landing, 2)
+    assert run() == {("2025-01-01", 1.0): 5, ("2025-01-02", 2.0): 3}
+    # An older number for the first day: the day is rebuilt, still not from the half arrival.
+    land(rows("2025-01-01", 4, 4.0), landing, 0)
+    assert run() == {("2025-01-01", 1.0): 5, ("2025-01-02", 2.0): 3}
+    # Sent again under its number, whole: no row of the half one is left.
+    land(rows("2025-01-01", 6, 9.0), landing, 3)
+    assert run() == {("2025-01-01", 9.0): 6, ("2025-01-02", 2.0): 3}
+
+
 def test_any_python_model_scores_in_batches(table):
     def double_first():  # local, so that workers need not import this file
         return lambda batch: np.asarray(batch)[:, 0] * 2.0
