@@ -86,84 +86,157 @@ def ks_pvalue(distance: Column, n: Column, m: Column, terms: int = KS_TERMS) ->
     return F.when(distance == 0, F.lit(1.0)).otherwise(p)
 
 
+def _table(rows: Sequence[Sequence], kind: str) -> str:
+    """Rows of constants as one array; each row is one literal until Spark folds it."""
+    lists = [f"cast(split('{','.join(str(v) for v in row)}', ',') AS array<{kind}>)" for row in rows]
+    return f"array({', '.join(lists)})"
+
+
+def _in_leaves(both: DataFrame, edges: Sequence[Sequence[float]], kept=None) -> DataFrame:
+    """(feature, leaf, x, is_ref) of every value, or of those in the ``kept`` leaves of each feature.
+
+    Leaf 2i lies between edges i - 1 and i, leaf 2i + 1 is edge i itself. Edges are found by
+    halving steps, one projection each, so the plan is small whatever their number.
+    """
+    step = 1
+    while 2 * step - 1 < max(len(cut) for cut in edges):
+        step *= 2
+    padded = _table([[*map(repr, cut), *["Infinity"] * (2 * step - 1 - len(cut))] for cut in edges], "double")
+    values = ", ".join(f"named_struct('feature', {i}, 'x', v{i})" for i in range(len(edges)))
+    found = both.selectExpr("is_ref", f"inline(array({values}))", "0 AS passed").where("x IS NOT NULL")
+    size = 2 * step
+    while step:
+        edge = f"get(get({padded}, feature), passed + {step - 1})"
+        found = found.selectExpr("is_ref", "feature", "x", f"passed + IF({edge} < x, {step}, 0) AS passed")
+        step //= 2
+    found = found.selectExpr("is_ref", "feature", "x", f"2 * passed + IF(get(get({padded}, feature), passed) = x, 1, 0) AS leaf")
+    if kept is None:
+        return found
+    mask = _table([[leaf in leaves for leaf in range(2 * size)] for leaves in kept], "boolean")
+    return found.where(f"get(get({mask}, feature), leaf)")
+
+
+def _sides() -> list[Column]:
+    return [F.sum("is_ref").alias("ref"), F.sum(F.lit(1) - F.col("is_ref")).alias("cur")]
+
+
+def ks_leaves(
+    both: DataFrame, features: int, buckets: int
+) -> tuple[list[list[float]], list[dict], list[tuple[int, int, float | None]]]:
+    """What the totals of sketched leaves tell of each feature's distance.
+
+    Returns the edges; the leaves that may hold a greater distance, each with the rows before
+    it; and the sizes of both samples with the greatest distance at a leaf's end. Inside a leaf the
+    distribution functions rise by no more than its shares, so its bound is known from totals.
+    """
+    ranks = ",".join(repr(i / buckets) for i in range(1, buckets))
+    found = both.agg(
+        *[
+            F.expr(
+                f"IF(count(v{i}) > 0, kll_sketch_get_quantile_double(kll_sketch_agg_double(v{i}, 1024), "
+                f"cast(split('{ranks}', ',') AS array<double>)), null) AS e{i}"
+            )
+            for i in range(features)
+        ]
+    ).first()  # buckets - 1 numbers per feature
+    edges = [sorted(set(e or [])) for e in found]
+    totals: list[dict[int, tuple[int, int]]] = [{} for _ in edges]
+    for r in _in_leaves(both, edges).groupBy("feature", "leaf").agg(*_sides()).collect():  # one row per leaf
+        totals[r.feature][r.leaf] = (r.ref, r.cur)
+    open_, ends = [], []
+    for leaves in totals:
+        n, m = (sum(side) for side in zip(*leaves.values())) if leaves else (0, 0)
+        if not n or not m:
+            open_.append({})
+            ends.append((n, m, None))
+            continue
+        before, bounds, best, ref, cur = {}, {}, 0.0, 0, 0
+        for leaf in sorted(leaves):
+            r, c = leaves[leaf]
+            before[leaf] = (ref, cur)
+            bounds[leaf] = max(abs((ref + r) / n - cur / m), abs(ref / n - (cur + c) / m))
+            ref, cur = ref + r, cur + c
+            best = max(best, abs(ref / n - cur / m))
+        # An edge is one value: its end is all there is to know.
+        open_.append({leaf: before[leaf] for leaf, top in bounds.items() if leaf % 2 == 0 and top > best})
+        ends.append((n, m, best))
+    return edges, open_, ends
+
+
 def ks_two_sample(
     reference: DataFrame,
     current: DataFrame,
     columns: Sequence[str],
     alpha: float = 0.05,
     pieces: int | None = None,
+    buckets: int = 64,
 ) -> DataFrame:
     """Kolmogorov-Smirnov distance and p-value per feature.
 
-    Values are counted first, map-side, so copies of one value cost nothing. The counted
-    values are range-partitioned by feature and value, into as many ``pieces`` as there are
-    shuffle partitions unless given: every task walks its own run of values, and the totals
-    of the pieces are chained afterwards. Where the cuts lie does not change the result.
+    Sketched values cut every feature into ``buckets`` leaves, whose totals are summed map-side.
+    They give the distance at each leaf's end and a bound on the distance inside; only leaves
+    whose bound exceeds the best distance are walked, so where samples have shifted few values
+    are shuffled (where they are alike, nearly all). Values are counted before they are shuffled,
+    so copies of one value cost nothing, and range-partitioned into as many ``pieces`` as
+    there are shuffle partitions unless given: every task walks its own run of values, and the
+    totals of the pieces are chained afterwards. Where the cuts lie does not change the result.
     """
     both = _both(reference, current, columns)
-    long = both.select(
-        "is_ref",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("feature"), F.col(f"v{i}").alias("x"))
-                    for i in range(len(columns))
-                ]
-            )
-        ),
-    ).where(F.col("x").isNotNull())
-    counted = long.groupBy("feature", "x").agg(
-        F.sum("is_ref").alias("ref"), F.sum(F.lit(1) - F.col("is_ref")).alias("cur")
+    edges, open_, ends = ks_leaves(both, len(columns), buckets)
+    known = both.sparkSession.createDataFrame(
+        [(i, n, m, best) for i, (n, m, best) in enumerate(ends) if n or m],
+        "feature int, n_ref long, n_cur long, best double",
     )
+    distance = known.withColumn("distance", F.col("best"))
+    if any(open_):
+        distance = (
+            known.join(F.broadcast(_walked(both, edges, open_, known, pieces)), "feature", "left")  # one row per feature
+            .withColumn("distance", F.when(F.col("best").isNotNull(), F.greatest("best", "inside")))
+        )
+    p = ks_pvalue(F.col("distance"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return distance.select(
+        F.get(names, F.col("feature")).alias("feature"), "n_ref", "n_cur", "distance", p.alias("p_value")
+    ).withColumn("shifted", F.col("p_value") < alpha)
+
+
+def _walked(both: DataFrame, edges, open_, known: DataFrame, pieces: int | None) -> DataFrame:
+    """Greatest distance inside the open leaves, per feature."""
+    counted = _in_leaves(both, edges, open_).groupBy("feature", "leaf", "x").agg(*_sides())
     cut = [pieces] if pieces else []
     # Stored, since the cuts are sampled anew by every run of the plan.
     counts = durable(
-        counted.repartitionByRange(*cut, "feature", "x").withColumn("bucket", F.spark_partition_id())
-    )
-    walk = (
-        Window.partitionBy("feature", "bucket").orderBy("x")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    whole = Window.partitionBy("feature")
-    sizes = rows_from(
-        both, [],
-        [
-            F.struct(
-                F.lit(i).alias("feature"),
-                F.count(F.when(F.col("is_ref") == 1, F.col(f"v{i}"))).alias("n_ref"),
-                F.count(F.when(F.col("is_ref") == 0, F.col(f"v{i}"))).alias("n_cur"),
-            )
-            for i, c in enumerate(columns)
-        ],
+        counted.repartitionByRange(*cut, "feature", "leaf", "x").withColumn("piece", F.spark_partition_id())
     )
-    gap = F.try_divide(F.sum("ref").over(walk), F.col("n_ref").cast("double")) - F.try_divide(
-        F.sum("cur").over(walk), F.col("n_cur").cast("double")
+    starts = both.sparkSession.createDataFrame(
+        [(i, leaf, r, c) for i, leaves in enumerate(open_) for leaf, (r, c) in leaves.items()],
+        "feature int, leaf int, ref_before long, cur_before long",
     )
-    steps = counts.join(F.broadcast(sizes), "feature")  # one row per feature
-    per_bucket = (
-        steps.withColumn("gap", gap)
-        .groupBy("feature", "bucket", "n_ref", "n_cur")
-        .agg(
-            F.max("gap").alias("top"), F.min("gap").alias("bottom"),
-            F.sum("ref").alias("ref"), F.sum("cur").alias("cur"),
+    chain = Window.partitionBy("feature", "leaf").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    begins = (  # one row per leaf and piece
+        counts.groupBy("feature", "leaf", "piece").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+        .join(F.broadcast(starts), ["feature", "leaf"])
+        .join(F.broadcast(known), "feature")
+        .select(
+            "feature", "leaf", "piece", "n_ref", "n_cur",
+            *[
+                (F.col(f"{side}_before") + F.coalesce(F.sum(side).over(chain), F.lit(0))).alias(f"{side}_from")
+                for side in ("ref", "cur")
+            ],
         )
     )
-    before = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per piece
-    start = F.coalesce(
-        F.try_divide(F.sum("ref").over(before), F.col("n_ref").cast("double"))
-        - F.try_divide(F.sum("cur").over(before), F.col("n_cur").cast("double")),
-        F.lit(0.0),
+    walk = Window.partitionBy("feature", "leaf", "piece").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    # Chained whole numbers, divided last: the same doubles wherever the cuts lie.
+    apart = F.abs(
+        (F.col("ref_from") + F.col("ref")) / F.col("n_ref") - (F.col("cur_from") + F.col("cur")) / F.col("n_cur")
     )
-    farthest = F.greatest(F.abs(F.col("start") + F.col("top")), F.abs(F.col("start") + F.col("bottom")))
-    distance = (
-        per_bucket.withColumn("start", start)
-        .groupBy("feature", "n_ref", "n_cur")
-        .agg(F.max(farthest).alias("distance"))
+    run = counts.select(
+        "feature", "leaf", "piece", F.sum("ref").over(walk).alias("ref"), F.sum("cur").over(walk).alias("cur")
+    )
+    # At most shuffle partitions plus leaves.
+    return run.join(F.broadcast(begins), ["feature", "leaf", "piece"]).groupBy("feature").agg(
+        F.max(apart).alias("inside")
     )
-    p = ks_pvalue(F.col("distance"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
-    names = F.array(*[F.lit(c) for c in columns])
-    distance = distance.withColumn("feature", F.get(names, F.col("feature")))
-    return distance.withColumn("p_value", p).withColumn("shifted", F.col("p_value") < alpha)
 
 
 def psi_kl(

@@ -149,6 +149,42 @@ def test_ks_of_disjoint_samples_is_one(spark):
     assert out.distance == 1.0 and out.shifted
 
 
+@pytest.mark.parametrize("buckets", [2, 5, 64])
+def test_ks_is_the_same_however_many_buckets(spark, table, buckets):
+    names = ["normal", "hot", "heavy", "constant", "whole"]
+    inf = float("inf")
+    odd = F.when(F.col("normal") > 12, inf).when(F.col("normal") < 7, -inf).otherwise(F.col("hot")).alias("odd")
+    rows = table.select(*names, odd)
+    a, b = rows.where("heavy > 0.5"), rows.where("heavy < 2 or normal > 10")
+    got = {r.feature: r for r in H.ks_two_sample(a, b, [*names, "odd"], buckets=buckets).collect()}
+    x, y = a.toPandas(), b.toPandas()
+    for c in [*names, "odd"]:
+        u, v = np.sort(x[c].to_numpy()), np.sort(y[c].to_numpy())
+        grid = np.concatenate([u, v])
+        want = np.abs(
+            np.searchsorted(u, grid, "right") / len(u) - np.searchsorted(v, grid, "right") / len(v)
+        ).max()
+        assert got[c].distance == want and (got[c].n_ref, got[c].n_cur) == (len(u), len(v)), c
+
+
+def test_ks_walks_fewer_values_the_more_buckets_there_are(spark):
+    rng = np.random.default_rng(8)
+    rows = [(float(x), 1) for x in rng.normal(size=8_000)] + [(float(x), 0) for x in rng.normal(0.5, size=8_000)]
+    both = spark.createDataFrame(rows, "v0 double, is_ref int").repartition(3)
+    walked = []
+    for buckets in (2, 8, 64):
+        edges, open_, _ = H.ks_leaves(both, 1, buckets)
+        walked.append(H._in_leaves(both, edges, open_).count())
+    # Half a deviation apart: the gap is flat around its top, where leaves stay open.
+    assert 16_000 > walked[0] > walked[1] > walked[2] and walked[2] < 16_000 / 3, walked
+
+
+def test_ks_of_an_empty_side_is_unknown(spark):
+    a = spark.createDataFrame([(1.0, None), (2.0, None)], "x double, y double")
+    out = H.ks_two_sample(a, a.where("x > 5"), ["x", "y"]).collect()
+    assert [(r.feature, r.n_ref, r.n_cur, r.distance) for r in out] == [("x", 2, 0, None)]
+
+
 def test_psi_of_a_sample_with_itself_is_zero(table):
     for r in H.psi_kl(table, table, ["normal", "hot", "constant"]).collect():
         assert r.psi == pytest.approx(0) and r.kl == pytest.approx(0)
