@@ -141,6 +141,10 @@ class Parser:
         out[:, :seen][goes] = (moves[goes] * width) << 1
         return out.reshape(-1)
 
+    def cost(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Bits per byte of each text in each language."""
+        return self.phrases(data, bounds) * self.bits / np.maximum(np.diff(bounds), 1)[:, None]
+
     def phrases(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Phrases that each text needs in each language."""
         sizes = np.diff(bounds)
@@ -188,13 +192,19 @@ def identify(
     ``score`` is the share of the second best language's phrases in those of the best two:
     one half where they tie, towards 1 the clearer the choice; 0 for ``und``.
     """
-    ready(df.sparkSession)
     texts = tuple(sorted(learned.items()))
+    return judged(df, lambda: parser(texts) if texts else None, keep, made)
+
+
+def judged(df: DataFrame, model_of, keep: list[str] | None, made: tuple[str, str, str]) -> DataFrame:
+    """``identify`` by the model that ``model_of`` gives a worker: ``langs``, and ``cost``, the
+    bits per byte of texts in each."""
+    ready(df.sparkSession)
     names = [n for n in (df.columns if keep is None else keep) if n not in made]
     fields = ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
 
     def run(batches):
-        model = parser(texts) if texts else None
+        model = model_of()
         for batch in batches:
             column = filled(batch.column("text"))
             for start, stop in slices(column):
@@ -211,13 +221,13 @@ def identify(
     return df.mapInArrow(run, f"{fields}, `{made[0]}` string, `{made[1]}` double, `{made[2]}` double".removeprefix(", "))
 
 
-def judge(model: Parser | None, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def judge(model, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     lettered = np.array([LETTER.search(t) is not None for t in texts.to_pylist()], bool)
     if model is None:
         zero = np.zeros(len(texts))
         return [UNKNOWN] * len(texts), zero, zero
     data, bounds = flat(texts)
-    cost = model.phrases(data, bounds) * model.bits / np.maximum(np.diff(bounds), 1)[:, None]
+    cost = model.cost(data, bounds)
     best = cost.argmin(axis=1)
     lowest = cost[np.arange(len(cost)), best]
     if cost.shape[1] > 1:
@@ -239,8 +249,7 @@ def dearest(learned: dict[str, bytes], held: dict[str, bytes], passage_bytes: in
     pieces = [t[i : i + passage_bytes] for t in known.values() for i in range(0, len(t), passage_bytes + 1)]
     pieces = [p for p in pieces if len(p) >= FOREIGN_BYTES] or pieces
     data, bounds = np.frombuffer(b"".join(pieces), np.uint8), np.cumsum([0, *map(len, pieces)])
-    cost = model.phrases(data, bounds) * model.bits / np.maximum(np.diff(bounds), 1)[:, None]
-    return float(cost.min(axis=1).max())
+    return float(model.cost(data, bounds).min(axis=1).max())
 
 
 def rejected(lang: Column, bits: Column, text: Column, most: float | None) -> Column:
