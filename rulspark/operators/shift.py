@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rulspark.functions.columns import col
 from rulspark.operators.quantiles import exact_quantiles
 from rulspark.operators.stats import rows_from
-from rulspark.session import durable
+from rulspark.session import durable, workers_import
 
 # Terms of the Kolmogorov series.
 KS_TERMS = 100
 # Share given to an empty bin, so that its logarithm exists.
 EPSILON = 1e-6
+# Rows that a task sorts at once.
+BUFFER_ROWS = 200_000
+# Values of a task's summary of a feature; most leaves that a feature is cut into.
+SUMMARY, LEAVES = 1_024, 16_384
+# Values in open leaves that are walked without cutting the leaves further.
+WALK_ROWS = 2_000_000
 
 
 def flag_out_of_range(low: Column, high: Column, lo: float = -0.01, hi: float = 1.01) -> Column:
@@ -86,64 +94,163 @@ def ks_pvalue(distance: Column, n: Column, m: Column, terms: int = KS_TERMS) ->
     return F.when(distance == 0, F.lit(1.0)).otherwise(p)
 
 
-def _table(rows: Sequence[Sequence], kind: str) -> str:
-    """Rows of constants as one array; each row is one literal until Spark folds it."""
-    lists = [f"cast(split('{','.join(str(v) for v in row)}', ',') AS array<{kind}>)" for row in rows]
-    return f"array({', '.join(lists)})"
-
+def _buffers(batches: Iterator[pa.RecordBatch], features: int) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    """(reference, current) values of each feature, sorted, for ``BUFFER_ROWS`` rows or a few more."""
+
+    def merged(parts: list[pa.RecordBatch]) -> list[tuple[np.ndarray, np.ndarray]]:
+        rows = pa.Table.from_batches(parts)
+        ref = rows.column("is_ref").to_numpy() == 1
+        out = []
+        for i in range(features):
+            x = rows.column(f"v{i}").to_numpy()
+            known = ~np.isnan(x)  # nulls
+            out.append((np.sort(x[known & ref]), np.sort(x[known & ~ref])))
+        return out
+
+    parts, n = [], 0
+    for batch in batches:
+        parts.append(batch)
+        n += batch.num_rows
+        if n >= BUFFER_ROWS:
+            yield merged(parts)
+            parts, n = [], 0
+    if n:
+        yield merged(parts)
+
+
+def _summed(both: DataFrame, run: Callable, kinds: str) -> DataFrame:
+    workers_import(both.sparkSession)
+    return both.mapInArrow(run, kinds)
+
+
+def _thinned(x: np.ndarray, weight: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """About ``size`` of the values, evenly spaced by weight, which they share."""
+    if len(x) <= size:
+        return x, weight
+    order = np.argsort(x, kind="stable")
+    upto = np.cumsum(weight[order])
+    at = np.searchsorted(upto, (np.arange(size) + 0.5) * (upto[-1] / size))
+    return x[order][np.minimum(at, len(x) - 1)], np.full(size, upto[-1] / size)
+
+
+def _cuts(both: DataFrame, features: int, buckets: int) -> list[list[float]]:
+    """Values that cut each feature into about equal leaves, from summaries that tasks make of all values."""
+
+    def run(batches):
+        kept = [(np.zeros(0), np.zeros(0))] * features
+        for sides in _buffers(batches, features):
+            for i, pair in enumerate(sides):
+                fresh = np.concatenate(pair)
+                fresh = _thinned(fresh, np.ones(len(fresh)), SUMMARY)
+                kept[i] = _thinned(*(np.concatenate(two) for two in zip(kept[i], fresh)), 8 * SUMMARY)
+        for i, (x, weight) in enumerate(kept):
+            x, weight = _thinned(x, weight, SUMMARY)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(x), i, np.int32)), pa.array(x), pa.array(weight)], ["feature", "x", "weight"]
+            )
 
-def _in_leaves(both: DataFrame, edges: Sequence[Sequence[float]], kept=None) -> DataFrame:
-    """(feature, leaf, x, is_ref) of every value, or of those in the ``kept`` leaves of each feature.
+    # SUMMARY values per feature and task.
+    found = _summed(both, run, "feature int, x double, weight double").toArrow()
+    feature, x, weight = (found.column(c).to_numpy() for c in ("feature", "x", "weight"))
+    out = []
+    for i in range(features):
+        own, _ = _thinned(x[feature == i], weight[feature == i], 8 * SUMMARY)
+        ranks = np.arange(1, buckets) / buckets
+        out.append(np.unique(np.quantile(own, ranks, method="inverted_cdf")).tolist() if len(own) else [])
+    return out
+
+
+def _bounds(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Where each leaf begins in sorted values, and their number. Leaf 2i lies between edges
+    i - 1 and i, leaf 2i + 1 is edge i itself."""
+    ends = np.column_stack([np.searchsorted(x, edges, "left"), np.searchsorted(x, edges, "right")])
+    return np.concatenate([[0], ends.reshape(-1), [len(x)]])
+
+
+def _leaf_totals(both: DataFrame, edges: Sequence[Sequence[float]]) -> list[dict[int, tuple[int, int]]]:
+    """Reference and current rows of each leaf that has some, per feature."""
+    cuts = [np.array(cut, float) for cut in edges]
+
+    def run(batches):
+        sums = [np.zeros((2, 2 * len(cut) + 1), np.int64) for cut in cuts]
+        for sides in _buffers(batches, len(cuts)):
+            for total, cut, pair in zip(sums, cuts, sides):
+                for side, x in enumerate(pair):
+                    total[side] += np.diff(_bounds(x, cut))
+        for i, total in enumerate(sums):
+            leaf = np.flatnonzero(total.any(axis=0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(leaf), i, np.int32)), pa.array(leaf.astype(np.int32)), *[pa.array(t[leaf]) for t in total]],
+                ["feature", "leaf", "ref", "cur"],
+            )
 
-    Leaf 2i lies between edges i - 1 and i, leaf 2i + 1 is edge i itself. Edges are found by
-    halving steps, one projection each, so the plan is small whatever their number.
-    """
-    step = 1
-    while 2 * step - 1 < max(len(cut) for cut in edges):
-        step *= 2
-    padded = _table([[*map(repr, cut), *["Infinity"] * (2 * step - 1 - len(cut))] for cut in edges], "double")
-    values = ", ".join(f"named_struct('feature', {i}, 'x', v{i})" for i in range(len(edges)))
-    found = both.selectExpr("is_ref", f"inline(array({values}))", "0 AS passed").where("x IS NOT NULL")
-    size = 2 * step
-    while step:
-        edge = f"get(get({padded}, feature), passed + {step - 1})"
-        found = found.selectExpr("is_ref", "feature", "x", f"passed + IF({edge} < x, {step}, 0) AS passed")
-        step //= 2
-    found = found.selectExpr("is_ref", "feature", "x", f"2 * passed + IF(get(get({padded}, feature), passed) = x, 1, 0) AS leaf")
-    if kept is None:
-        return found
-    mask = _table([[leaf in leaves for leaf in range(2 * size)] for leaves in kept], "boolean")
-    return found.where(f"get(get({mask}, feature), leaf)")
-
-
-def _sides() -> list[Column]:
-    return [F.sum("is_ref").alias("ref"), F.sum(F.lit(1) - F.col("is_ref")).alias("cur")]
+    told = _summed(both, run, "feature int, leaf int, ref long, cur long")
+    out: list[dict[int, tuple[int, int]]] = [{} for _ in cuts]
+    found = told.groupBy("feature", "leaf").agg(F.sum("ref"), F.sum("cur")).toArrow()  # one row per leaf
+    for feature, leaf, ref, cur in zip(*(c.to_pylist() for c in found.columns)):
+        out[feature][leaf] = (ref, cur)
+    return out
+
+
+def _in_leaves(both: DataFrame, edges: Sequence[Sequence[float]], kept) -> DataFrame:
+    """(feature, leaf, x, ref, cur): values in the ``kept`` leaves of each feature, counted within a buffer."""
+    cuts = [np.array(cut, float) for cut in edges]
+    masks = [np.isin(np.arange(2 * len(cut) + 1), list(leaves)) for cut, leaves in zip(cuts, kept)]
+    names = ["feature", "leaf", "x", "ref", "cur"]
+
+    def run(batches):
+        for sides in _buffers(batches, len(cuts)):
+            for i, (cut, mask, pair) in enumerate(zip(cuts, masks, sides)):
+                for side, x in enumerate(pair):
+                    leaf = np.repeat(np.arange(len(mask), dtype=np.int32), np.diff(_bounds(x, cut)))
+                    inside = mask[leaf]
+                    x, leaf = x[inside], leaf[inside]
+                    first = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+                    n, none = np.diff(np.append(first, len(x))), np.zeros(len(first), np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(first), i, np.int32)), pa.array(leaf[first]), pa.array(x[first])]
+                        + [pa.array(t) for t in ((none, n) if side else (n, none))],
+                        names,
+                    )
+
+    return _summed(both, run, "feature int, leaf int, x double, ref long, cur long")
 
 
 def ks_leaves(
     both: DataFrame, features: int, buckets: int
 ) -> tuple[list[list[float]], list[dict], list[tuple[int, int, float | None]]]:
-    """What the totals of sketched leaves tell of each feature's distance.
+    """What the totals of leaves tell of each feature's distance.
 
     Returns the edges; the leaves that may hold a greater distance, each with the rows before
     it; and the sizes of both samples with the greatest distance at a leaf's end. Inside a leaf the
     distribution functions rise by no more than its shares, so its bound is known from totals.
+    While more than ``WALK_ROWS`` values lie in such leaves, these are cut into equal parts and
+    all leaves are counted again, unless that no longer halves the values.
     """
-    ranks = ",".join(repr(i / buckets) for i in range(1, buckets))
-    found = both.agg(
-        *[
-            F.expr(
-                f"IF(count(v{i}) > 0, kll_sketch_get_quantile_double(kll_sketch_agg_double(v{i}, 1024), "
-                f"cast(split('{ranks}', ',') AS array<double>)), null) AS e{i}"
-            )
-            for i in range(features)
-        ]
-    ).first()  # buckets - 1 numbers per feature
-    edges = [sorted(set(e or [])) for e in found]
-    totals: list[dict[int, tuple[int, int]]] = [{} for _ in edges]
-    for r in _in_leaves(both, edges).groupBy("feature", "leaf").agg(*_sides()).collect():  # one row per leaf
-        totals[r.feature][r.leaf] = (r.ref, r.cur)
-    open_, ends = [], []
+    edges = _cuts(both, features, buckets)
+    open_, ends, rows = _judged(_leaf_totals(both, edges))
+    while rows > WALK_ROWS:
+        finer = [_finer(cut, leaves) for cut, leaves in zip(edges, open_)]
+        if finer == edges:
+            break
+        edges, before = finer, rows
+        open_, ends, rows = _judged(_leaf_totals(both, edges))
+        if 2 * rows > before:
+            break
+    return edges, open_, ends
+
+
+def _finer(cut: list[float], leaves: dict) -> list[float]:
+    """Edges with those that cut open leaves between two edges into equal parts."""
+    inner = [leaf // 2 for leaf in leaves if 0 < leaf < 2 * len(cut)]
+    parts = (LEAVES - len(cut)) // max(len(inner), 1)
+    more = [np.linspace(cut[i - 1], cut[i], parts + 1)[1:-1] for i in inner if parts > 1 and np.isfinite(cut[i] - cut[i - 1])]
+    return np.unique(np.concatenate([cut, *more])).tolist()
+
+
+def _judged(totals: list[dict[int, tuple[int, int]]]) -> tuple[list[dict], list[tuple[int, int, float | None]], int]:
+    """Open leaves, sizes and distances as ``ks_leaves`` returns them, and the values in open leaves."""
+    open_, ends, rows = [], [], 0
     for leaves in totals:
         n, m = (sum(side) for side in zip(*leaves.values())) if leaves else (0, 0)
         if not n or not m:
@@ -160,7 +267,8 @@ def ks_leaves(
         # An edge is one value: its end is all there is to know.
         open_.append({leaf: before[leaf] for leaf, top in bounds.items() if leaf % 2 == 0 and top > best})
         ends.append((n, m, best))
-    return edges, open_, ends
+        rows += sum(sum(leaves[leaf]) for leaf in open_[-1])
+    return open_, ends, rows
 
 
 def ks_two_sample(
@@ -173,11 +281,11 @@ def ks_two_sample(
 ) -> DataFrame:
     """Kolmogorov-Smirnov distance and p-value per feature.
 
-    Sketched values cut every feature into ``buckets`` leaves, whose totals are summed map-side.
-    They give the distance at each leaf's end and a bound on the distance inside; only leaves
-    whose bound exceeds the best distance are walked, so where samples have shifted few values
-    are shuffled (where they are alike, nearly all). Values are counted before they are shuffled,
-    so copies of one value cost nothing, and range-partitioned into as many ``pieces`` as
+    Values from summaries cut every feature into ``buckets`` leaves, whose totals are summed
+    map-side. They give the distance at each leaf's end and a bound on the distance inside; only
+    leaves whose bound exceeds the best distance are walked, after they have been cut further
+    where they hold many values, so few values are shuffled. They are counted before, so
+    copies of one value cost nothing, and range-partitioned into as many ``pieces`` as
     there are shuffle partitions unless given: every task walks its own run of values, and the
     totals of the pieces are chained afterwards. Where the cuts lie does not change the result.
     """
@@ -202,7 +310,9 @@ def ks_two_sample(
 
 def _walked(both: DataFrame, edges, open_, known: DataFrame, pieces: int | None) -> DataFrame:
     """Greatest distance inside the open leaves, per feature."""
-    counted = _in_leaves(both, edges, open_).groupBy("feature", "leaf", "x").agg(*_sides())
+    counted = _in_leaves(both, edges, open_).groupBy("feature", "leaf", "x").agg(
+        F.sum("ref").alias("ref"), F.sum("cur").alias("cur")
+    )
     cut = [pieces] if pieces else []
     # Stored, since the cuts are sampled anew by every run of the plan.
     counts = durable(

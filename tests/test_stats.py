@@ -179,6 +179,21 @@ def test_ks_walks_fewer_values_the_more_buckets_there_are(spark):
     assert 16_000 > walked[0] > walked[1] > walked[2] and walked[2] < 16_000 / 3, walked
 
 
+def test_ks_of_like_samples_walks_few_values(spark, monkeypatch):
+    """Where samples are alike, every leaf of 64 may hold the distance; cut further, few do."""
+    monkeypatch.setattr(H, "WALK_ROWS", 2_000)
+    monkeypatch.setattr(H, "BUFFER_ROWS", 7_000)
+    rng = np.random.default_rng(9)
+    x, y = rng.normal(size=20_000), rng.normal(size=20_000)
+    rows = spark.createDataFrame([(float(v), 1) for v in x] + [(float(v), 0) for v in y], "v0 double, is_ref int").repartition(3)
+    edges, open_, _ = H.ks_leaves(rows, 1, 64)
+    assert H._in_leaves(rows, edges, open_).count() < 4_000
+    a, b = rows.where("is_ref = 1"), rows.where("is_ref = 0")
+    x, y, grid = np.sort(x), np.sort(y), np.concatenate([x, y])
+    want = np.abs(np.searchsorted(x, grid, "right") / len(x) - np.searchsorted(y, grid, "right") / len(y)).max()
+    assert H.ks_two_sample(a, b, ["v0"]).first().distance == want
+
+
 def test_ks_of_an_empty_side_is_unknown(spark):
     a = spark.createDataFrame([(1.0, None), (2.0, None)], "x double, y double")
     out = H.ks_two_sample(a, a.where("x > 5"), ["x", "y"]).collect()
