@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -59,6 +60,24 @@ def sequence_windows(
     return in_blocks(df, n, compute, unit, seq, block_rows).where(col(seq) >= n)
 
 
+@dataclass(frozen=True)
+class Windows:
+    """Look-back windows as ``window_vectors`` describes them, not laid out: ``rows`` once, and
+    what a window reads of them. ``wanted`` tells of which rows the windows are."""
+
+    rows: DataFrame
+    inputs: list[str]
+    target: str
+    n: int = SEQUENCE_LENGTH
+    unit: str = "unit"
+    seq: str = "seq"
+    block_rows: int = BLOCK_ROWS
+    wanted: Column | None = None
+
+    def where(self, condition: Column) -> Windows:
+        return replace(self, wanted=condition if self.wanted is None else self.wanted & condition)
+
+
 def window_vectors(
     df: DataFrame,
     features: Sequence[str],
@@ -69,10 +88,15 @@ def window_vectors(
     unit: str = "unit",
     seq: str = "seq",
     block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
+    views: bool = False,
+) -> DataFrame | Windows:
     """Look-back windows as one vector per row: ``n`` steps of every feature, and of the past
     target if ``include_target_lags``, oldest first. Rows with a missing value in their
-    window are dropped."""
+    window are dropped. With ``views`` no vector is made: ``modeling.train_vectors`` and its
+    model walk the rows themselves."""
+    if views:
+        inputs = [*features, target] if include_target_lags else list(features)
+        return Windows(df, inputs, target, n, unit, seq, block_rows)
     windows = sequence_windows(df, features, n, target, include_target_lags, unit, seq, block_rows)
     fields = [f"f{i}" for i in range(len(features))] + (["target"] if include_target_lags else [])
     flat = F.flatten(F.transform("history", lambda step: F.array(*[step[f] for f in fields])))

@@ -26,6 +26,7 @@ from rulspark.plans.frames import (
 )
 from rulspark.plans.registry import query
 from rulspark.schema import EMA_SPAN, LABEL
+from rulspark.session import durable, scratch_path
 
 ROLLED = SENSORS
 
@@ -299,11 +300,15 @@ def _forecast(spark, sf_dir, include_target_lags):
     finite predictions and whether they beat the mean, per dataset."""
     from rulspark.operators.modeling import train_vectors
 
-    series = _sequence_series(spark, sf_dir).select("unit", "dataset", "seq", "label", *SENSORS)
+    # Read by each pass of the quantiles and twice for windows.
+    path = scratch_path(spark, "series")
+    _sequence_series(spark, sf_dir).select("unit", "dataset", "seq", "label", *SENSORS).write.parquet(path)
+    series = spark.read.parquet(path)
     train = F.col("dataset") <= 5
-    params = fit_robust(series.where(train), [*SENSORS, "label"])
+    # One row per feature, stored: it is used three times.
+    params = durable(fit_robust(series.where(train), [*SENSORS, "label"]))
     windows = S.window_vectors(
-        scale(series, params, [*SENSORS, "label"]), SENSORS, "label", include_target_lags=include_target_lags
+        scale(series, params, [*SENSORS, "label"]), SENSORS, "label", include_target_lags=include_target_lags, views=True
     )
     model = train_vectors(windows.where(train), "window", "label", regParam=0.01)
     center, spread = params.where("feature = 'label'").select("center", "scale").first()

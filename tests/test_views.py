@@ -5,9 +5,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from rulspark.operators import modeling as M
 from rulspark.operators import reservoir as V
 from rulspark.operators import sequence as S
 from rulspark.operators import views as W
+from rulspark.plans import windows as queries
 
 SCHEMA = "unit string, seq long, a double, b double, label double, is_val boolean"
 
@@ -180,3 +182,27 @@ def test_nothing_to_fit_is_an_error(frame):
     model = V.Reservoir(["a"], "label")
     with pytest.raises(ValueError, match="not fitted"):
         model.forecast(frame)
+
+
+@pytest.mark.parametrize("lags,block", [(True, 100_000), (False, 31), (True, 64)])
+def test_windows_as_views_give_the_model_of_vectors(frame, small_batches, monkeypatch, lags, block):
+    """Coefficients and forecasts of Spark's regression on vectors that are laid out."""
+    monkeypatch.setattr(M, "WINDOWS_AT_ONCE", 50)
+    df, train = frame.where("unit IS NOT NULL"), F.col("unit") != "DS01_001"
+    for n, penalty in ((3, 0.01), (30, 0.1)):
+        laid = S.window_vectors(df, ["a", "b"], "label", n, lags)
+        viewed = S.window_vectors(df, ["a", "b"], "label", n, lags, block_rows=block, views=True)
+        plain = M.train_vectors(laid.where(train), "window", "label", regParam=penalty)
+        model = M.train_vectors(viewed.where(train), "window", "label", regParam=penalty)
+        assert model.coefficients == pytest.approx(plain.stages[-1].coefficients.toArray(), abs=1e-9)
+        assert model.intercept == pytest.approx(plain.stages[-1].intercept, abs=1e-9)
+        got, want = ({(r.unit, r.seq): r.prediction for r in m.transform(w).collect()} for m, w in ((model, viewed), (plain, laid)))
+        assert got.keys() == want.keys() and got == {k: pytest.approx(v, abs=1e-9) for k, v in want.items()}
+    missing = df.withColumn("label", F.when(F.col("seq") != 35, F.col("label")))
+    with pytest.raises(Exception, match="a label is missing"):
+        M.train_vectors(S.window_vectors(missing, ["a"], "label", 30, False, views=True), "window", "label")
+
+
+def test_forecasts_lay_no_windows_out(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(S, "sequence_windows", None)
+    assert queries.forecast_lr(spark, sf_dir).count() and queries.forecast_covariates(spark, sf_dir).count()
