@@ -184,41 +184,43 @@ MADE = ("lang_pred", "score", "bits_per_byte")
 
 
 def identify(
-    df: DataFrame, learned: dict[str, bytes], keep: list[str] | None = None, made: tuple[str, str, str] = MADE
+    df: DataFrame, learned: dict[str, bytes], keep: list[str] | None = None, made: tuple[str, str, str] = MADE, also=()
 ) -> DataFrame:
     """``lang_pred``, ``score`` and ``bits_per_byte`` (or the names ``made``) beside the columns
     of ``df`` (or ``keep``); columns of these names are replaced.
 
     ``score`` is the share of the second best language's phrases in those of the best two:
-    one half where they tie, towards 1 the clearer the choice; 0 for ``und``.
+    one half where they tie, towards 1 the clearer the choice; 0 for ``und``. ``also`` are models
+    with their names, as ``judged`` takes them, that judge in the same pass.
     """
     texts = tuple(sorted(learned.items()))
-    return judged(df, lambda: parser(texts) if texts else None, keep, made)
+    return judged(df, [(lambda: parser(texts) if texts else None, made), *also], keep)
 
 
-def judged(df: DataFrame, model_of, keep: list[str] | None, made: tuple[str, str, str]) -> DataFrame:
-    """``identify`` by the model that ``model_of`` gives a worker: ``langs``, and ``cost``, the
-    bits per byte of texts in each."""
+def judged(df: DataFrame, models, keep: list[str] | None) -> DataFrame:
+    """``identify`` by each of ``models``: a function that gives a worker the model, with ``langs``
+    and ``cost``, the bits per byte of texts in each; and the three names."""
     ready(df.sparkSession)
+    made = [n for _, three in models for n in three]
     names = [n for n in (df.columns if keep is None else keep) if n not in made]
-    fields = ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
+    fields = [f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names]
+    fields += [f"`{n}` {kind}" for _, three in models for n, kind in zip(three, ("string", "double", "double"))]
 
     def run(batches):
-        model = model_of()
+        built = [model_of() for model_of, _ in models]
         for batch in batches:
             column = filled(batch.column("text"))
             for start, stop in slices(column):
                 part = column.slice(start, stop - start)
-                lang, score, bits = judge(model, part)
+                found = []
+                for model in built:
+                    lang, score, bits = judge(model, part)
+                    found += [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64())]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *[batch.column(n).slice(start, stop - start) for n in names],
-                        pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64()),
-                    ],
-                    [*names, *made],
+                    [*[batch.column(n).slice(start, stop - start) for n in names], *found], [*names, *made]
                 )
 
-    return df.mapInArrow(run, f"{fields}, `{made[0]}` string, `{made[1]}` double, `{made[2]}` double".removeprefix(", "))
+    return df.mapInArrow(run, ", ".join(fields))
 
 
 def judge(model, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as c
-from rulspark.llm import bytecounts, langid, packing, quality, simhash
+from rulspark.llm import langid, packing, quality, simhash
 from test_packing import check
 
 
@@ -91,17 +91,17 @@ def test_without_labels_no_lettered_text_is_dropped(spark, sf_dir):
 def test_language_stage_parses_every_lettered_text_and_counts_its_bytes(spark, sf_dir, monkeypatch):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     lettered = {r.doc_id for r in docs.collect() if langid.LETTER.search(r.text or "")}
-    seen = {}
-    for module in (langid, bytecounts):
+    seen, real = [], langid.identify
 
-        def identify(df, learned, keep=None, made=langid.MADE, name=module.__name__, real=module.identify):
-            if keep is None:
-                seen[name] = {r.doc_id for r in df.select("doc_id").collect()}
-            return real(df, learned, keep, made)
+    def identify(df, learned, keep=None, made=langid.MADE, also=()):
+        out = real(df, learned, keep, made, also)
+        if keep is None:
+            seen.append(({r.doc_id for r in df.select("doc_id").collect()}, len(out.columns) - len(df.columns)))
+        return out
 
-        monkeypatch.setattr(module, "identify", identify)
+    monkeypatch.setattr(langid, "identify", identify)
     assert c.language(spark, docs, sf_dir).count() == len(lettered)
-    assert seen == {langid.__name__: lettered, bytecounts.__name__: lettered}
+    assert seen == [(lettered, 6)]
 
 
 CLASHING = ("_lang", "_score", "_bits", "_print", "_fp", "_root", "_component", "_LABEL", "stats", "place", "ids", "key")
